@@ -30,23 +30,21 @@ def remove_underscore(tag: Column) -> Column:
 
 
 def parse_replacements(spec: str) -> list[tuple[str, str]]:
-    """``src,tgt;src,tgt`` with a backslash before ``,`` or ``;`` for the character itself. A pair that isn't one raises ValueError."""
+    """The pairs of ``src,tgt;src,tgt``, with a backslash before ``,`` or ``;`` for the character itself. A pair is
+    split at its first comma; what has none is skipped."""
     fields: list[list[str]] = [[""]]
     chars = iter(spec)
     for c in chars:
         if c == "\\":
             nxt = next(chars, "")
-            fields[-1][-1] += nxt if nxt in ",;" else c + nxt
+            fields[-1][-1] += nxt if nxt and nxt in ",;" else c + nxt
         elif c == ";":
             fields.append([""])
-        elif c == ",":
+        elif c == "," and len(fields[-1]) == 1:
             fields[-1].append("")
         else:
             fields[-1][-1] += c
-    pairs = [f for f in fields if f != [""]]
-    if bad := [f for f in pairs if len(f) != 2]:
-        raise ValueError(f"not a pair: {','.join(bad[0])}")
-    return [(a.strip(), b.strip()) for a, b in pairs]
+    return [(f[0], f[1]) for f in fields if len(f) == 2]
 
 
 def replace_tags(tags: Column, pairs: list[tuple[str, str]]) -> Column:
