@@ -152,7 +152,7 @@ def queries() -> dict[str, Query]:
     frames = F.col("l_extendedprice").cast("bigint") % 400
     fps = F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_quantity"))
     return {
-        "p3_found": lambda s, d: compaction.small_files(table(s, d, "manifest")).select("path"),
+        "p3_found": lambda s, d: compaction.consolidation_plan(table(s, d, "manifest")).select("path"),
         "p3_plan": lambda s, d: compaction.consolidation_plan(table(s, d, "manifest")),
         "p3_files": lambda s, d: compaction.consolidated_files(table(s, d, "manifest")),
         "pairs_full_outer": m(scan.media_pairs),

@@ -137,6 +137,20 @@ def test_plan_covers_each_file_once(spark):
     assert min(sizes.values()) > 10_000 and max(sizes.values()) < 30_000
 
 
+def test_p3_found_goes_through_the_plan(spark, tmp_path, monkeypatch):
+    from shardloom.plans import queries
+
+    rows = [("r", "/a/x", 5), ("r", "/a/./x", 6), ("r", "/a/y", 70_000), ("s", "/a/z", 9)]
+    m = spark.createDataFrame(rows, "repo string, path string, length bigint").withColumn("modification_time", F.lit("2024-01-01").cast("timestamp_ntz"))
+    m.write.parquet(str(tmp_path / "manifest.parquet"))
+    planned = []
+    plan = compaction.consolidation_plan
+    monkeypatch.setattr(compaction, "consolidation_plan", lambda *a: planned.append(plan(*a)) or planned[-1])
+    found = queries.queries()["p3_found"](spark, str(tmp_path))
+    assert sorted(r["path"] for r in found.collect()) == ["/a/x", "/a/z"]
+    assert [p.count() for p in planned] == [2]
+
+
 def test_compact(spark, tmp_path):
     folder = str(tmp_path / "t")
     data = [(i, None if i % 5 == 0 else f"v{i}") for i in range(500)]
