@@ -13,16 +13,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A group of more entries is cut into ranges of its order, each of which begins a new shard and is one task's work.
+from shardloom.session import cut_lineage
+
+#: A group of more entries is cut into ranges of its order, each of which is one task's work; the shards run on over them.
 LARGE = 500_000
+#: Before a group's first entry: number of the open shard, its bytes and entries, whether a large entry closed it.
+FIRST = (-1, 0, 0, True)
 
 
-def next_fit(sizes: np.ndarray, capacity: int, most: int = 0, alone: bool = True, overhead: int = 0, comma: int = 0) -> np.ndarray:
+def next_fit(sizes: np.ndarray, capacity: int, most: int = 0, alone: bool = True, overhead: int = 0, comma: int = 0, state: tuple = FIRST) -> np.ndarray:
     """Shard number of each entry in order. An entry that would overflow the open shard, or find ``most`` entries in it,
     opens the next. ``alone``: an entry above capacity closes the open shard and stands by itself; else it may join a
-    shard that has no bytes yet. A shard starts with ``overhead`` bytes; an entry beside others needs ``comma`` more."""
+    shard that has no bytes yet. A shard starts with ``overhead`` bytes; an entry beside others needs ``comma`` more.
+    ``state``: what the entries before these left."""
     out = np.empty(len(sizes), np.int64)
-    shard, used, count, closed = 0, 0, 0, False
+    shard, used, count, closed = state
     for i, size in enumerate(sizes.tolist()):
         if alone and size > capacity:
             shard += 1 if count or closed else 0
@@ -40,27 +45,95 @@ def next_fit(sizes: np.ndarray, capacity: int, most: int = 0, alone: bool = True
     return out
 
 
+def following(sizes: np.ndarray, capacity: int, most: int = 0, alone: bool = True, overhead: int = 0, comma: int = 0) -> np.ndarray:
+    """Of each entry, if it opens a shard, which one opens the next; their number if none does. Sizes are not negative."""
+    n, at = len(sizes), np.arange(len(sizes))
+    sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+    after = np.searchsorted(sums, sums[:-1] + (capacity - overhead - comma), "right") - 1
+    if not alone and not overhead:
+        after = np.maximum(after, np.searchsorted(sums, sums[:-1], "right"))
+    if most:
+        after = np.minimum(after, at + most)
+    if alone:
+        large = np.flatnonzero(sizes > capacity)
+        after = np.minimum(after, np.append(large, n)[np.searchsorted(large, at, "right")])
+        after[large] = 0
+    return np.minimum(np.maximum(after, at + 1), n)
+
+
+def summary(sizes: np.ndarray, capacity: int, **rule) -> dict:
+    """What a range of entries makes of any state before it: its entries and bytes, the sizes up to the last entry that
+    can be the first to open a shard, and for each of these, if it is, the shards opened and the state at the end."""
+    n, alone = len(sizes), rule.get("alone", True)
+    after = following(sizes, capacity, **rule)
+    # The state with the most room is that after an entry without bytes.
+    heads = min(int(following(np.append(0, sizes), capacity, **rule)[0]), n)
+    opened, last = np.ones(n, np.int64), np.arange(n)
+    for k in range(n - 1, -1, -1):
+        if (j := after[k]) < n:
+            opened[k], last[k] = opened[j] + 1, last[j]
+    last = last[:heads]
+    sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+    closed = (sizes[last] > capacity) & alone
+    used, count = np.where(closed, 0, sums[n] - sums[last]), np.where(closed, 0, n - last)
+    return {"n": n, "total": int(sums[n]), "sizes": sizes[:heads], "opened": opened[:heads], "used": used, "count": count, "closed": closed}
+
+
+def run_on(state: tuple, s: dict, capacity: int, **rule) -> tuple:
+    """The state after a range, from that before it and the range's summary."""
+    shard, used, count, _ = state
+    opens = np.flatnonzero(next_fit(np.asarray(s["sizes"]), capacity, state=state, **rule) > shard)
+    if not len(opens):
+        return shard, used + int(s["total"]), count + int(s["n"]), False
+    k = opens[0]
+    return shard + int(s["opened"][k]), int(s["used"][k]), int(s["count"][k]), bool(s["closed"][k])
+
+
 def pack(df: DataFrame, group: str, order: str, size: Column, capacity: int, large: int = LARGE, **rule) -> DataFrame:
     """(group, order, bytes, range, shard, seq): each entry's shard within its group and its place there, in code-point
-    order. Null sizes count as 0. ``rule``: see next_fit."""
-    rows = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(size, F.lit(0)).cast("bigint").alias("bytes"))
+    order, null last; of equal ones the smaller first. Null sizes count as 0, negative ones too. ``rule``: see next_fit.
+
+    A group of more than ``large`` entries is cut into ranges. Each is summed up by what it makes of any state before it,
+    the summaries are gone through in order, and each range is packed from the state that the ranges before it left; so
+    the shards are those of one pass over the whole group."""
+    rows = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.greatest(size, F.lit(0)).cast("bigint").alias("bytes"))
     counts = rows.groupBy(F.col("g").alias("of")).agg(F.count("*").alias("n"))
     marked = rows.join(counts, F.col("g").eqNullSafe(F.col("of"))).select("g", "o", "bytes", (F.col("n") > large).alias("big"))
-    small = marked.where(~F.col("big")).withColumn("range", F.lit(0))
+    before = [F.lit(x).cast(kind).alias(c) for x, c, kind in zip(FIRST, ("at", "used", "count", "closed"), ("bigint", "bigint", "bigint", "boolean"))]
+    split = marked.where(~F.col("big")).select("g", "o", "bytes", F.lit(0).alias("range"), *before)
     ranges = max(1, -(-(marked.where("big").count()) // large))
-    # Only groups above LARGE are cut, by boundaries that Spark samples.
-    split = small
-    if ranges > 1:
-        split = small.unionByName(marked.where("big").repartitionByRange(ranges * 2, "g", "o").withColumn("range", F.spark_partition_id()))
+    g_type, o_type = (rows.schema[c].dataType.simpleString() for c in ("g", "o"))
+
+    def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.sort_values("bytes", kind="stable").sort_values("o", key=lambda s: s.str.encode("utf-8") if s.dtype == object else s, kind="stable")
+
+    def sum_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = summary(ordered(pdf)["bytes"].to_numpy(), capacity, **rule)
+        return pd.DataFrame([{"g": pdf["g"].iloc[0], "range": pdf["range"].iloc[0]} | found])
+
+    def go_through(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, out = FIRST, []
+        for s in pdf.sort_values("range").to_dict("records"):
+            out.append((s["g"], s["range"], *state))
+            state = run_on(state, s, capacity, **rule)
+        return pd.DataFrame(out, columns=["of", "part", "at", "used", "count", "closed"])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o", key=lambda s: s.str.encode("utf-8") if s.dtype == object else s, kind="stable")
-        shard = next_fit(pdf["bytes"].to_numpy(), capacity, **rule)
-        seq = pd.Series(shard).groupby(shard).cumcount().to_numpy()
+        pdf = ordered(pdf)
+        state = tuple(pdf[c].iloc[0].item() for c in ("at", "used", "count", "closed"))
+        shard = next_fit(pdf["bytes"].to_numpy(), capacity, state=state, **rule)
+        seq = pd.Series(shard).groupby(shard).cumcount().to_numpy() + np.where(shard == state[0], state[2], 0)
         return pd.DataFrame({"g": pdf["g"], "o": pdf["o"], "bytes": pdf["bytes"], "range": pdf["range"], "shard": shard.astype("int32"), "seq": seq.astype("int32")})
 
-    kinds = f"g {rows.schema['g'].dataType.simpleString()}, o {rows.schema['o'].dataType.simpleString()}"
-    out = split.drop("big").groupBy("g", "range").applyInPandas(fill, f"{kinds}, bytes bigint, range int, shard int, seq int")
+    # Only groups above LARGE are cut, by boundaries that Spark samples; written once, so that they stay where they are.
+    if ranges > 1:
+        cut = marked.where("big").repartitionByRange(ranges * 2, F.col("g"), F.col("o").asc_nulls_last()).select("g", "o", "bytes", F.spark_partition_id().alias("range"))
+        cut = cut_lineage(cut)
+        sums = cut.groupBy("g", "range").applyInPandas(sum_up, f"g {g_type}, range int, n bigint, total bigint, sizes array<bigint>, opened array<bigint>, used array<bigint>, count array<bigint>, closed array<boolean>")
+        states = sums.groupBy("g").applyInPandas(go_through, f"of {g_type}, part int, at bigint, used bigint, count bigint, closed boolean")
+        begun = cut.join(F.broadcast(states), F.col("g").eqNullSafe(F.col("of")) & (F.col("range") == F.col("part")))
+        split = split.unionByName(begun.drop("of", "part"))
+    out = split.groupBy("g", "range").applyInPandas(fill, f"g {g_type}, o {o_type}, bytes bigint, range int, shard int, seq int")
     return out.withColumnsRenamed({"g": group, "o": order})
 
 

@@ -130,7 +130,8 @@ def archive(kind: str) -> Query:
         folder = f"{shared_dir(s).removeprefix('file:').replace('//', '/')}/{kind}-{uuid.uuid4().hex[:8]}"
         docs = table(s, d, "documents").where("text is not null").select("repo", F.format_string("%012d", "doc_id").alias("name"), "text")
         placed = shards.pack(docs, "repo", "name", F.octet_length("text"), 1 << 20, most=5000)
-        rows = placed.join(docs, ["repo", "name"]).select(F.concat_ws("-", F.replace("repo", F.lit("/"), F.lit("__")), F.col("range"), F.format_string("%05d", "shard")).alias("shard"), "seq", F.concat("name", F.lit(".txt")).alias("name"), F.encode("text", "utf-8").alias("content"))
+        # A shard may run over two ranges, so that no range is in its name.
+        rows = placed.join(docs, ["repo", "name"]).select(F.concat_ws("-", F.replace("repo", F.lit("/"), F.lit("__")), F.lit("0"), F.format_string("%05d", "shard")).alias("shard"), "seq", F.concat("name", F.lit(".txt")).alias("name"), F.encode("text", "utf-8").alias("content"))
         return shards.write_archives(rows, folder, kind).select("shard", "members")
 
     return run

@@ -110,6 +110,47 @@ def test_large_groups_are_cut(spark):
     assert shards.pack(df.limit(0), "g", "o", F.col("n"), 20).count() == 0
 
 
+RULES = [{}, {"most": 3}, {"alone": False}, {"alone": False, "overhead": 5, "comma": 1}, {"most": 2, "alone": False}]
+
+
+@given(st.lists(st.one_of(st.just(0), st.integers(0, 30)), max_size=40), st.integers(1, 40), st.sampled_from(RULES), st.lists(st.integers(1, 39), max_size=5))
+def test_ranges_run_on(sizes, capacity, rule, cuts):
+    whole = shards.next_fit(np.array(sizes, np.int64), capacity, **rule)
+    state, got = shards.FIRST, []
+    at = sorted({0, len(sizes), *(c for c in cuts if c < len(sizes))})
+    for a, b in zip(at, at[1:]):
+        part = np.array(sizes[a:b], np.int64)
+        got += shards.next_fit(part, capacity, state=state, **rule).tolist()
+        state = shards.run_on(state, shards.summary(part, capacity, **rule), capacity, **rule)
+    assert got == whole.tolist()
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_large_groups_are_packed_as_one(spark, rule):
+    rows = [("r", f"f{i:04d}", (i * 37) % 23) for i in range(400)] + [(None, f"n{i:04d}", i % 5) for i in range(150)] + [("r", None, 9), ("r", "f0007", 2), ("s", "x", 1)]
+    df = spark.createDataFrame(rows, "g string, o string, n bigint")
+    once, cut = (sorted(map(str, shards.pack(df, "g", "o", F.col("n"), 20, large=n, **rule).drop("range").collect())) for n in (10_000, 60))
+    assert cut == once and len(cut) == 553
+
+
+@pytest.mark.parametrize("name", ["pack_a", "pack_b", "pack_c", "pack_json_payload", "shard_keys"])
+def test_shard_queries_with_large_groups_match_sql(spark, monkeypatch, name):
+    duckdb = pytest.importorskip("duckdb")
+    from shardloom.plans import queries
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    whole = shards.pack
+    monkeypatch.setattr(shards, "pack", lambda *a, **k: whole(*a, large=8, **k))
+    df = queries.queries()[name](spark, folder)
+    con = duckdb.connect()
+    for t in ("packing_input", "caption"):
+        con.sql(f"create view {t} as from '{folder}/{t}.parquet'")
+    want = con.sql(queries.oracle_sql()[name]).df()[df.columns].itertuples(index=False, name=None)
+    assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
 def test_archives(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1, "y", b"2"), ("a", 0, "x", b"1"), ("b", 0, "z", b"")], "shard string, seq int, name string, content binary")
     got = {r["shard"]: r for r in shards.write_archives(rows, str(tmp_path), "zip").collect()}
