@@ -106,6 +106,10 @@ _HEADING = re.compile(r"^#{1,6}\s+\S.{0,60}$")
 _BREAK = re.compile(r"[\r\n]+|(?<=[.!?])\s+|(?<=[。！？])")
 _MARKUP = re.compile(r"<[/!?]?[A-Za-z][^<>]*>")
 _QUOTED = re.compile(r"`[^`\n]{1,200}`|\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”|«[^»\n]{1,200}»|„[^“”\n]{1,200}[“”]|「[^」\n]{1,200}」")
+_LINE, _GAP = re.compile(r"[\r\n]+"), re.compile("\0+")
+_JSON = re.compile(r'^\s*[{\["]|"\s*:')
+_MARK, _AFTER, _KEY = re.compile(r'(?<!\\)"'), re.compile(r"\s*(?:[,:\]}]|$)"), re.compile(r'"[^"\s]{1,60}"\s*:')
+_CLOSED = re.compile(r'"\s*[,:\]}]')
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 
@@ -203,22 +207,54 @@ def chrome(sentence: str) -> bool:
     return bool(words) and all(w in MENU for w in words)
 
 
-def slots(sentence: str) -> list[str]:
-    """The unfilled slots of a sentence; none in one that speaks about slots, and none that is code or quoted."""
-    if not _HINT.search(sentence) or not _SLOT.search(sentence) or _ABOUT.search(sentence):
-        return []
-    return [m[0] for m in _SLOT.finditer(_bare(sentence))]
-
-
-def _bare(sentence: str) -> str:
-    """Without quotations and code; strings of JSON stay."""
-    return _QUOTED.sub(lambda m: m[0] if m[0][0] == '"' and _held_by_json(sentence, m) else " ", sentence)
-
-
-def _held_by_json(sentence: str, m: re.Match) -> bool:
-    """Whether quotation marks are those of a JSON string rather than of a quotation."""
-    after, before = sentence[m.end() : m.end() + 2].strip(), sentence[max(0, m.start() - 2) : m.start()].strip()
-    return bool(re.match(r"[,:\]}]|$", after)) and bool(re.search(r"[,:\[{]$|^$", before)) and bool(re.search(r'^\s*[{\["]|"\s*:', sentence))
+def _parts(line: str) -> list[tuple[int, int, bool]]:
+    """Where the strings of JSON in a line begin and end, with their marks, and what is between them (begin, end,
+    whether it is a string). A string begins after { [ , : or at the line's begin and ends before , : ] } or the line's
+    end; a mark that is neither, as where a slot took the other, is text. Broken JSON pairs anew at the next key."""
+    out, at, begin = [], 0, None
+    if '"' in line and _JSON.search(line):
+        for m in _MARK.finditer(line):
+            i = m.start()
+            opens = line[max(0, i - 8) : i].rstrip()[-1:] in ("{", "[", ",", ":") or not line[:i].strip()
+            if begin is None or opens and _KEY.match(line, i):
+                begin = i if opens else None
+            elif _AFTER.match(line, i + 1):
+                out += [(at, begin, False), (begin, i + 1, True)]
+                at, begin = i + 1, None
+    return [*out, (at, len(line), False)]
+
+
+def _unquoted(part: str) -> str:
+    """With quotations and code as zero characters; a mark that closes a string of JSON begins no quotation."""
+    return _QUOTED.sub(lambda m: m[0] if _CLOSED.match(m[0]) else "\0" * len(m[0]), part)
+
+
+def _read(text: str) -> Iterator[tuple[str, str, list[str]]]:
+    """Each sentence, as it is and without quotations and code, and its unfilled slots. Quotation marks are paired over
+    the whole line, before it is cut into sentences; strings of JSON stay. No slot is in a quotation or code, nor where
+    the sentence speaks about slots in other words than the slot's, within the same string of JSON or outside of any."""
+    for line in _LINE.split(repair(text)):
+        parts = _parts(line)
+        bare = "".join(f'"{_unquoted(line[a + 1 : b - 1])}"' if held else _unquoted(line[a:b]) for a, b, held in parts)
+        breaks = [m.span() for m in _BREAK.finditer(line)]
+        for a, b in zip([0, *(e for _, e in breaks)], [*(s for s, _ in breaks), len(line)]):
+            whole = _SPACE.sub(" ", line[a:b]).strip(" \ufeff")
+            if not whole:
+                continue
+            found = []
+            if _HINT.search(whole) and _SLOT.search(whole):
+                inner = [(max(a, x), min(b, y), held) for x, y, held in parts if x < b and y > a]
+                for spans in ([(x, y) for x, y, held in inner if not held], *([(x, y)] for x, y, held in inner if held)):
+                    seen, said = (_SPACE.sub(" ", '"'.join(s[x:y] for x, y in spans)) for s in (bare, line))
+                    slot = [m[0] for m in _SLOT.finditer(_GAP.sub(" ", seen))]
+                    if slot and not _ABOUT.search(_SLOT.sub(" ", said)):
+                        found += slot
+            yield whole, _GAP.sub(" ", _SPACE.sub(" ", bare[a:b]).strip(" \ufeff")), found
+
+
+def slots(text: str) -> list[str]:
+    """The unfilled slots of a text."""
+    return [x for _, _, found in _read(text) for x in found]
 
 
 def natural_counts(docs: DataFrame, text: str) -> np.ndarray:
@@ -259,10 +295,10 @@ def inspect(texts: list[str | None], ratios: np.ndarray) -> list[tuple[int, int,
     """(slots, residue characters, other characters, excluded) of each document. Quotations are no residue."""
     found, kept, owner, whole = [0] * len(texts), [], [], []
     for i, t in enumerate(texts):
-        for s in sentences(t) if t else ():
-            found[i] += len(slots(s))
+        for s, bare, unfilled in _read(t) if t else ():
+            found[i] += len(unfilled)
             if not chrome(s):
-                kept.append(plain(_bare(s)))
+                kept.append(plain(bare))
                 owner.append(i)
                 whole.append(len(plain(s)))
     shares = _Grams(kept).shares(ratios) * np.array([len(k) / max(1, w) for k, w in zip(kept, whole)]) if kept else []

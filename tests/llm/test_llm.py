@@ -144,6 +144,27 @@ def test_residue(spark):
     assert residue.residues(df).count() == 1511
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ('{"caption": "' + "A boat lies still. " * 15 + 'It ends.", @@TAGS@@ ["white cloak"], "style": %s wash"}', ["@@TAGS@@", "%s"]),
+        ('{"profile": "anime", "template": "v2", "caption": "A {name} stands near the bridge."}', ["{name}"]),
+        ("A {{profile}} stands near the bridge.", ["{{profile}}"]),
+        ("A ${template} and a [PLACEHOLDER] hang there.", ["${template}", "[PLACEHOLDER]"]),
+        ('{"caption": "One. Two {name}, three.", "tags": ["a"]}', ["{name}"]),
+        ('{"caption": "The placeholder {name} is never filled in.", "style": "x"}', []),
+        ('{"caption": "A sign reads \\"go {name}\\" there."}', []),
+        ('The sign reads "First go. Then {name} follows." at dusk.', []),
+        ('"Use {name}." It stood there.', []),
+        ('{"caption": "a boat"} Templates use {name} here.', []),
+        ("Use `{name}` where a name goes.", []),
+        ('{"tags_used": ["crimson kimono", [character name] scarf", %s hat", "red {0}, "blue parasol"], "x": "y"}', ["[character name]", "%s", "{0}"]),
+    ],
+)
+def test_slots(text, want):
+    assert residue.slots(text) == want
+
+
 def test_hot_keys(spark):
     left = spark.createDataFrame([(1, i) for i in range(90)] + [(k, 0) for k in range(2, 12)] + [(None, 5)], "k bigint, v int")
     right = spark.createDataFrame([(k, f"x{k}") for k in range(1, 8)], "k bigint, w string")
