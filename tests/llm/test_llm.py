@@ -128,6 +128,11 @@ def test_truncation_and_defects(spark):
     assert found == {1000: "refusal", 1001: "empty", 1002: "empty", 1003: "empty", 1004: "empty", 1005: "truncated", 1006: "truncated", 1007: "truncated", 1008: "refusal", 1009: "echo"}
 
 
+def test_context_lengths():
+    assert [v[2] for v in truncation.views("a boat", "caption", True)] == [(3, 5, 8, 12, 20, 32, 48)]
+    assert [v[2] for v in truncation.views("no boat", "error_message", False)] == [(3, 5, 8, 12, 20)] * 2
+
+
 def test_defect_rules():
     assert pairs.lcs(list("abcde"), list("axcye")) == 3
     assert pairs.message_says("Refused by the safety filter (stage 1); no caption was produced") == "refusal"
