@@ -138,6 +138,10 @@ def test_defect_rules():
     assert pairs.message_says("Refused by the safety filter (stage 1); no caption was produced") == "refusal"
     assert pairs.message_says("response incomplete (12 tokens written, limit reached), caption field never closed") == "truncated"
     assert pairs.message_says("unknown") is None
+    head = "2025-03-04 05:06:07.123 worker-12 batch b-0017 attempt 3 /data/a long/path of many words/and a file name 0001.png - "
+    assert pairs.message_says(head + "model declined to answer: outside of the rules") == "refusal"
+    assert pairs.message_says(head + head + head + "output truncated at the token limit") == "truncated"
+    assert pairs.message_says("connection reset by peer; earlier: model declined to answer") is None
     assert pairs.declines("申し訳ありませんが、この画像を説明することはできません。") and not pairs.declines("He shrugs as if unable to describe what he saw.")
 
 
