@@ -133,6 +133,17 @@ def test_context_lengths():
     assert [v[2] for v in truncation.views("no boat", "error_message", False)] == [(3, 5, 8, 12, 20)] * 2
 
 
+def test_every_language_has_a_model(spark):
+    rnd = random.Random(6)
+    names = [f"{a}{b}" for a in "klm" for b in "pqrstuv"][:20]
+    words = [["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(30)] for _ in names]
+    say = lambda k: " ".join(rnd.choices(words[k], k=40)) + "."
+    rows = [(name, say(k)) for k, name in enumerate(names) for _ in range(40 if k < 17 else 20)]
+    found, models = pairs.language_models(spark.createDataFrame(rows, "lang string, response string"))
+    assert found == names
+    assert pairs.foreign_share(say(19), names[19], found, models) == 0 and pairs.foreign_share(say(2), names[19], found, models) > 0.5
+
+
 def test_defect_rules():
     assert pairs.lcs(list("abcde"), list("axcye")) == 3
     assert pairs.message_says("Refused by the safety filter (stage 1); no caption was produced") == "refusal"
