@@ -144,6 +144,16 @@ def test_every_language_has_a_model(spark):
     assert pairs.foreign_share(say(19), names[19], found, models) == 0 and pairs.foreign_share(say(2), names[19], found, models) > 0.5
 
 
+def test_a_loop_hides_no_other_language(spark):
+    rnd = random.Random(8)
+    words = [["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(40)] for _ in range(2)]
+    say = lambda k: " ".join(rnd.sample(words[k], 12)) + "."
+    names, models = pairs.language_models(spark.createDataFrame([("xy"[k] * 2, say(k)) for k in (0, 1) for _ in range(300)], "lang string, response string"))
+    loop = " ".join([words[0][0]] * 200) + ". "
+    assert pairs.foreign_share(loop + say(1), "xx", names, models) > 0.5
+    assert pairs.foreign_share(loop + say(0), "xx", names, models) == 0 and pairs.foreign_share(" ", "xx", names, models) == 0
+
+
 def test_defect_rules():
     assert pairs.lcs(list("abcde"), list("axcye")) == 3
     assert pairs.message_says("Refused by the safety filter (stage 1); no caption was produced") == "refusal"
