@@ -26,6 +26,12 @@ def _ordered(chosen: DataFrame, key: str, rank: Column) -> DataFrame:
     return chosen.groupBy(key).agg(F.transform(got, lambda t: t["name"]).alias("tags"))
 
 
+def resolved_threshold(tagger_class: Column, tagger: Column, of_class: Column, overall: Column) -> Column:
+    """The first that is set of a tagger's threshold for a class, its own, that of the class and that of all; else 0.35.
+    0 is set."""
+    return F.coalesce(tagger_class, tagger, of_class, overall, F.lit(0.35))
+
+
 def threshold_tags(p: DataFrame, vocab: DataFrame, key: str, general: float = 0.35, character: float = 0.35, characters_first: bool = True) -> DataFrame:
     """(key, tags): general (0) and character (4) tags at or above their thresholds, in index order; with
     ``characters_first`` characters before, in descending index order, each having been put in front."""

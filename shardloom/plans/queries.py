@@ -35,6 +35,12 @@ def _vocab(s: SparkSession, d: str, size: int = DIMS, ratings: bool = True) -> D
     return tagging.vocabulary(v if ratings else v.where("category <> '9'"), size)
 
 
+def threshold_resolution(s: SparkSession, d: str) -> DataFrame:
+    """Thresholds of parts as taggers, each level set for some sizes."""
+    given = [F.when(F.col("p_size") % k == 0, F.col("p_size") / 100 - F.lit(x)) for k, x in ((2, 0.02), (3, 0.03), (5, 0.05), (7, 0.07))]
+    return table(s, d, "part").select("p_partkey", F.round(tagging.resolved_threshold(*given), 6).alias("threshold"))
+
+
 def _joined(df: DataFrame) -> DataFrame:
     return df.select("vec_id", F.array_join("tags", ",").alias("tags"))
 
@@ -168,6 +174,7 @@ def queries() -> dict[str, Query]:
         "camie_tags": camie_tags,
         "wd14_tags": wd14_tags,
         "pixai_tags": lambda s, d: _joined(tagging.split_tags(_scores(s, d), _vocab(s, d), "vec_id", GENERAL, _series(_vocab(s, d)), 0.9, 0.95)),
+        "threshold_resolution": threshold_resolution,
         "pixai_topk": lambda s, d: tagging.top_tags(table(s, d, "embeddings"), _vocab(s, d), "vec_id", "embedding", GENERAL, 5, 3),
         "tag_postprocess": lambda s, d: tag_lists(s, d).select("repo", "item", "tagger", "tagged_at", F.array_join(tags.postprocess(F.col("tags"), **TAG_RULES), "|").alias("tags")),
         "tag_dedupe_merge": merged_tags,
@@ -291,6 +298,7 @@ def oracle_sql() -> dict[str, str]:
             x AS (SELECT vec_id, idx, embedding[idx + 1] AS v, idx >= {GENERAL} AS c FROM scores JOIN embeddings USING (vec_id)),
             k AS (SELECT *, row_number() OVER (PARTITION BY vec_id, c ORDER BY v DESC, idx) AS n FROM x)
             SELECT vec_id, (n - 1 + CASE WHEN c THEN 5 ELSE 0 END)::INT AS rank, name FROM k JOIN vocab USING (idx) WHERE n <= CASE WHEN c THEN 3 ELSE 5 END""",
+        "threshold_resolution": "SELECT p_partkey, round(coalesce(" + ", ".join(f"CASE WHEN p_size % {k} = 0 THEN p_size::DOUBLE / 100 - {x}::DOUBLE END" for k, x in ((2, 0.02), (3, 0.03), (5, 0.05), (7, 0.07))) + ", 0.35), 6) AS threshold FROM part",
         "tag_postprocess": f"""WITH a AS (SELECT repo, item, tagger, tagged_at, {post} AS t FROM item_tags WHERE tags IS NOT NULL), b AS (SELECT * REPLACE ({first("t", "outdoors")} AS t) FROM a)
             SELECT repo, item, tagger, tagged_at, array_to_string({first("t", "single")}, '|') AS tags FROM b""",
         "tag_dedupe_merge": """WITH r AS (SELECT repo, item, row_number() OVER (PARTITION BY repo, item ORDER BY tagged_at, tagger, tags) AS n, tags FROM item_tags),

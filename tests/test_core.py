@@ -220,6 +220,22 @@ def test_taggers(spark):
     assert [r["name"] for r in tagging.top_tags(v, vocab, "vec_id", "e", 2, 1, 2).orderBy("rank").collect()] == ["a", "d", "c"]
 
 
+def test_threshold_resolution(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from shardloom.plans import queries
+
+    levels = [(0.0, 0.5, 0.6, 0.7), (None, 0.5, 0.6, 0.7), (None, None, 0.6, 0.7), (None, None, None, 0.7), (None, None, None, None)]
+    df = spark.createDataFrame(levels, "a double, b double, c double, d double")
+    assert [r[0] for r in df.select(tagging.resolved_threshold(*(F.col(c) for c in "abcd"))).collect()] == [0.0, 0.5, 0.6, 0.7, 0.35]
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    con.sql(f"create view part as from '{folder}/part.parquet'")
+    want = con.sql(queries.oracle_sql()["threshold_resolution"]).fetchall()
+    assert sorted(map(tuple, queries.queries()["threshold_resolution"](spark, folder).collect())) == sorted(want)
+
+
 def test_jobs(spark):
     log = spark.createDataFrame([(1, "r_a1", "failed", 1, "m", "b", 1.0, "p"), (2, "r_a1", "submitted", 1, None, "b", 2.0, "p"), (3, "s", "failed", None, "m", "b", 1.0, "q")], "log_id bigint, request_id string, state string, attempt int, error_message string, batch_id string, updated_at double, path_rel string")
     assert {r["base_id"]: r["next_id"] for r in jobs.attempts(log).collect()} == {"r": None, "s": "s_a1"}
