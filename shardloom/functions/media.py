@@ -38,7 +38,7 @@ def trim_action(fps: Column, frames: Column, most: int) -> Column:
 
 def cut_seconds(fps: Column, most: int) -> Column:
     """Where to cut, with four decimals; null without a rate."""
-    return F.format_string("%.4f", F.when(fps > 0, F.lit(float(most)) / fps))
+    return F.when(fps > 0, F.format_string("%.4f", F.bround(F.lit(float(most)) / fps.cast("double"), 4)))
 
 
 def keyframes(total: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom import boundary
@@ -143,6 +143,27 @@ def archive(kind: str) -> Query:
     return run
 
 
+def _frame_count() -> Column:
+    return F.col("l_extendedprice").cast("bigint") % 400
+
+
+def _rate() -> Column:
+    return F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_quantity"))
+
+
+def snap_trim(s: SparkSession, d: str) -> DataFrame:
+    """Line items as videos: the frame count of the form 8k + 1, whether to trim to 121 frames, and where to cut."""
+    snapped, action = media.snap_frames(_frame_count()), media.trim_action(_rate(), _frame_count(), 121)
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", snapped.alias("snapped"), action.alias("action"), media.cut_seconds(_rate(), 121).alias("cut"))
+
+
+def norm_actions(s: SparkSession, d: str) -> DataFrame:
+    """How many line items, as videos, need their sound or rate converted."""
+    channels = F.when(F.col("l_returnflag") == "N", None).otherwise(F.col("l_linenumber"))
+    by = table(s, d, "lineitem").groupBy(media.stereo_action(channels).alias("stereo"), media.fps_action(_rate(), 24.0).alias("rate"))
+    return by.agg(F.count("*").alias("n"))
+
+
 def stream_states(s: SparkSession, d: str) -> DataFrame:
     """The request log as a stream, to its end."""
     name = f"states_{uuid.uuid4().hex[:8]}"
@@ -156,8 +177,6 @@ def queries() -> dict[str, Query]:
     """Name to query."""
     m = lambda f: lambda s, d: f(table(s, d, "manifest"))
     log = lambda f: lambda s, d: f(table(s, d, "request_map"))
-    frames = F.col("l_extendedprice").cast("bigint") % 400
-    fps = F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_quantity"))
     return {
         "p3_found": lambda s, d: compaction.consolidation_plan(table(s, d, "manifest")).select("path"),
         "p3_plan": lambda s, d: compaction.consolidation_plan(table(s, d, "manifest")),
@@ -202,10 +221,10 @@ def queries() -> dict[str, Query]:
         "pack_json_payload": pack_payload,
         "shard_keys": shard_keys,
         "resume_chunk": lambda s, d: shards.next_chunk(table(s, d, "manifest").select(F.concat(F.lit("zips/chunk_"), F.col("length").cast("string"), F.lit(".zip")).alias("p")), "p", "zips/chunk_"),
-        "snap_trim": lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", media.snap_frames(frames).alias("snapped"), media.trim_action(fps, frames, 121).alias("action"), F.round(F.when(fps > 0, F.lit(121.0) / fps), 6).alias("cut")),
+        "snap_trim": snap_trim,
         "fps_parse": lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", media.parse_fps(F.concat(F.col("l_quantity").cast("int") * 1000, F.when(F.col("l_linenumber") % 3 == 0, "/").otherwise(""), F.when(F.col("l_linenumber") == 6, "0").otherwise("1001"))).alias("fps")),
-        "keyframes": lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.posexplode(media.keyframes(frames)).alias("k", "frame")),
-        "norm_actions": lambda s, d: table(s, d, "lineitem").groupBy(media.stereo_action(F.when(F.col("l_returnflag") == "N", None).otherwise(F.col("l_linenumber"))).alias("stereo"), media.fps_action(fps, 24.0).alias("rate")).agg(F.count("*").alias("n")),
+        "keyframes": lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.posexplode(media.keyframes(_frame_count())).alias("k", "frame")),
+        "norm_actions": norm_actions,
         "vram_batch": lambda s, d: table(s, d, "orders").select("o_orderkey", media.batch_for_memory(F.col("o_totalprice") / 5).cast("int").alias("batch")),
         "pair_groups": lambda s, d: similarity.frame_groups(_frames(s, d), "l_orderkey", "suffix", "path").select("l_orderkey", "a", "b", F.col("dataset").cast("int").alias("dataset")),
         "pair_similarity": pair_similarity,
@@ -340,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
         "shard_keys": _fold(_ENTRIES, "repo", "rel", "size", CAPACITY, f"f.used > 0 AND f.{byte_order}", alone=False) + " SELECT repo, format('{:06d}', count(*)) AS next_key, format('train-{:04d}.tar', max(shard)) AS last_shard FROM f GROUP BY repo",
         "resume_chunk": "SELECT (coalesce(max(try_cast(length AS INT)) FILTER (length >= 0), -1) + 1)::INT AS next_chunk FROM manifest",
         "snap_trim": f"""SELECT l_orderkey, l_linenumber, (CASE WHEN {frames} <= 1 THEN 1 ELSE {frames} - {over} + CASE WHEN {over} >= 4 THEN 8 ELSE 0 END END)::BIGINT AS snapped,
-            CASE WHEN {fps} IS NULL OR {fps} <= 0 OR {frames} <= 0 THEN 'probe_failed' WHEN {frames} <= 121 THEN 'keep' ELSE 'trim' END AS action, round(121.0::DOUBLE / {fps}, 6) AS cut FROM lineitem""",
+            CASE WHEN {fps} IS NULL OR {fps} <= 0 OR {frames} <= 0 THEN 'probe_failed' WHEN {frames} <= 121 THEN 'keep' ELSE 'trim' END AS action, CASE WHEN {fps} > 0 THEN printf('%.4f', 121.0::DOUBLE / ({fps})) END AS cut FROM lineitem""",
         "fps_parse": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 AND l_linenumber <> 6 THEN (l_quantity::INT * 1000)::DOUBLE / 1001 ELSE 0 END::DOUBLE AS fps FROM lineitem",
         "keyframes": f"""SELECT l_orderkey, l_linenumber, k::INT AS k, (CASE WHEN {frames} > 0 THEN least(trunc([0, 0.25, 0.5, 0.75, 1.0][k + 1]::DOUBLE * ({frames} - 1))::BIGINT, {frames} - 1) ELSE k END)::BIGINT AS frame FROM lineitem, range(0, 5) t(k)""",
         "norm_actions": f"""SELECT CASE WHEN l_returnflag = 'N' THEN 'no_audio' WHEN l_linenumber >= 2 THEN 'already' ELSE 'convert' END AS stereo, CASE WHEN {fps} IS NULL THEN 'unknown' WHEN {fps} = 24 THEN 'already' ELSE 'convert' END AS rate, count(*) AS n FROM lineitem GROUP BY 1, 2""",

@@ -1,6 +1,8 @@
 import json
 import os
 import random
+import subprocess
+import sys
 import zipfile
 
 import numpy as np
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 
 from shardloom.functions import media, paths, results, tags, text
 from shardloom.operators import compaction, jobs, scan, shards, similarity, sinks, tagging
+from shardloom.plans import queries
+
+from conftest import same_as_sql
 
 
 def one(spark, column, **values):
@@ -136,8 +141,6 @@ def test_large_groups_are_packed_as_one(spark, rule):
 @pytest.mark.parametrize("name", ["pack_a", "pack_b", "pack_c", "pack_json_payload", "shard_keys"])
 def test_shard_queries_with_large_groups_match_sql(spark, monkeypatch, name):
     duckdb = pytest.importorskip("duckdb")
-    from shardloom.plans import queries
-
     folder = "/root/testdata/sf0.001"
     if not os.path.isdir(folder):
         pytest.skip("no test data")
@@ -179,8 +182,6 @@ def test_plan_covers_each_file_once(spark):
 
 
 def test_p3_found_goes_through_the_plan(spark, tmp_path, monkeypatch):
-    from shardloom.plans import queries
-
     rows = [("r", "/a/x", 5), ("r", "/a/./x", 6), ("r", "/a/y", 70_000), ("s", "/a/z", 9)]
     m = spark.createDataFrame(rows, "repo string, path string, length bigint").withColumn("modification_time", F.lit("2024-01-01").cast("timestamp_ntz"))
     m.write.parquet(str(tmp_path / "manifest.parquet"))
@@ -222,8 +223,6 @@ def test_taggers(spark):
 
 def test_threshold_resolution(spark):
     duckdb = pytest.importorskip("duckdb")
-    from shardloom.plans import queries
-
     levels = [(0.0, 0.5, 0.6, 0.7), (None, 0.5, 0.6, 0.7), (None, None, 0.6, 0.7), (None, None, None, 0.7), (None, None, None, None)]
     df = spark.createDataFrame(levels, "a double, b double, c double, d double")
     assert [r[0] for r in df.select(tagging.resolved_threshold(*(F.col(c) for c in "abcd"))).collect()] == [0.0, 0.5, 0.6, 0.7, 0.35]
@@ -255,19 +254,12 @@ def test_similarity_and_sinks(spark, tmp_path):
     assert [r["written"] for r in done] == [True, False] and (tmp_path / "f.txt").read_text() == "hi\n"
 
 
-@pytest.mark.parametrize("name", ["camie_tags", "pairs_full_outer", "pack_b", "rate_window", "state_counters"])
-def test_queries_match_sql(spark, name):
-    duckdb = pytest.importorskip("duckdb")
-    from shardloom.plans import queries
+def test_queries_are_readable_without_a_session():
+    code = "import __spark_entry__ as e, pyspark; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q) and all(map(callable, q.values())); assert pyspark.SparkContext._active_spark_context is None"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
 
-    folder = "/root/testdata/sf0.001"
-    if not os.path.isdir(folder):
-        pytest.skip("no test data")
-    con = duckdb.connect()
-    for f in os.listdir(folder):
-        con.sql(f"create view {f[:-8]} as from '{folder}/{f}'")
-    df = queries.queries()[name](spark, folder)
-    cols = sorted(df.columns)
-    fixed = lambda rows: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows)
-    want = con.sql(queries.oracle_sql()[name]).df()[cols].itertuples(index=False, name=None)
-    assert fixed(map(tuple, df.select(*cols).collect())) == fixed(want)
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_match_sql(spark, name):
+    same_as_sql(spark, name, queries)
