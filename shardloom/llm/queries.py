@@ -31,14 +31,22 @@ def _plain(path: str) -> str:
     return out
 
 
+_KANA = "\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}々"
+_REPEATED = f"""w AS (
+  SELECT caption_id, regexp_extract_all(regexp_replace(lower(coalesce(caption, '')), '([{_KANA}])', ' \\1 ', 'g'), '[{_KANA}]|[\\p{{L}}\\p{{N}}]+') AS ws FROM caption),
+g AS (SELECT caption_id, unnest(list_transform(range(1, len(ws) - 2), lambda i: {{'i': i, 'g': array_to_string(ws[i:i + 3], chr(0))}})) AS x FROM w WHERE len(ws) >= 4),
+r AS (SELECT caption_id, x.i AS i FROM g QUALIFY row_number() OVER (PARTITION BY caption_id, x.g ORDER BY x.i) > 1),
+c AS (SELECT caption_id, count(DISTINCT p) AS repeated FROM (SELECT caption_id, unnest([i, i + 1, i + 2, i + 3]) AS p FROM r) GROUP BY caption_id)"""
+
+
 def queries() -> dict[str, Query]:
     """Name to query."""
     return {
         "p1_found": lambda s, d: cooccurrence.companions(table(s, d, "item_tags")),
         "p1_pairs": lambda s, d: cooccurrence.pair_counts(table(s, d, "item_tags")).drop("conviction"),
         "p1_conviction": lambda s, d: cooccurrence.pair_counts(table(s, d, "item_tags"), 5, 500).select("tag_a", "tag_b", "n_ab", "conviction"),
-        "p2_found": lambda s, d: repetition.repetitive(table(s, d, "caption")),
-        "p2_shares": lambda s, d: repetition.repetition(table(s, d, "caption")).select("caption_id", "words", "repeated", "share"),
+        "p2_found": lambda s, d: repetition.repetitive(table(s, d, "caption"), table(s, d, "eval_item")),
+        "p2_shares": lambda s, d: repetition.repetition(table(s, d, "caption"), table(s, d, "eval_item")).select("caption_id", "words", "repeated", "share"),
         "p4_found": lambda s, d: pairs.defects(table(s, d, "caption"), table(s, d, "request_map")),
         "p4_counts": lambda s, d: pairs.defect_counts(table(s, d, "caption"), table(s, d, "request_map")),
         "p5_found": lambda s, d: packing.oversized(table(s, d, "packing_input")),
@@ -64,13 +72,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE n_ab >= 5 AND n_ab * 500 >= total.n AND n_ab * total.n >= 4 * a.n * b.n""",
         "p1_pairs": f"""WITH {_USED} SELECT tag_a, tag_b, a.n AS n_a, b.n AS n_b, n_ab, total.n AS n, (n_ab * total.n)::DOUBLE / (a.n * b.n) AS lift
             FROM pair JOIN single a ON tag_a = a.tag JOIN single b ON tag_b = b.tag, total""",
-        "p2_found": """WITH w AS (
-              SELECT caption_id, regexp_extract_all(regexp_replace(lower(caption), '([\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}々])', ' \\1 ', 'g'), '[\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}々]|[\\p{L}\\p{N}]+') AS ws
-              FROM caption WHERE caption IS NOT NULL),
-            g AS (SELECT caption_id, unnest(list_transform(range(1, len(ws) - 2), lambda i: {'i': i, 'g': array_to_string(ws[i:i + 3], chr(0))})) AS x FROM w WHERE len(ws) >= 12),
-            r AS (SELECT caption_id, x.i AS i FROM g QUALIFY row_number() OVER (PARTITION BY caption_id, x.g ORDER BY x.i) > 1),
-            c AS (SELECT caption_id, count(DISTINCT p) AS repeated FROM (SELECT caption_id, unnest([i, i + 1, i + 2, i + 3]) AS p FROM r) GROUP BY caption_id)
-            SELECT caption_id FROM c JOIN w USING (caption_id) WHERE repeated * 100 >= 40 * len(ws)""",
+        "p1_conviction": f"""WITH {_USED} SELECT tag_a, tag_b, n_ab, (1 - b.n::DOUBLE / total.n) / nullif(1 - n_ab::DOUBLE / a.n, 0) AS conviction
+            FROM pair JOIN single a ON tag_a = a.tag JOIN single b ON tag_b = b.tag, total WHERE n_ab >= 5 AND n_ab * 500 >= total.n""",
+        "p2_found": f"WITH {_REPEATED} SELECT caption_id FROM c JOIN w USING (caption_id) WHERE len(ws) >= 12 AND repeated * 100 >= 40 * len(ws)",
+        "p2_shares": f"""WITH {_REPEATED} SELECT caption_id, len(ws)::INT AS words, coalesce(repeated, 0)::INT AS repeated,
+            CASE WHEN len(ws) > 0 THEN coalesce(repeated, 0)::DOUBLE / len(ws) ELSE 0 END::DOUBLE AS share FROM w LEFT JOIN c USING (caption_id)""",
         "p5_found": f"""WITH e AS (SELECT repo, substr({_plain("rel")}, 2) AS rel, size, listed_at FROM packing_input WHERE rel IS NOT NULL),
             n AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY repo, rel ORDER BY listed_at DESC NULLS LAST, size DESC NULLS LAST) = 1)
             SELECT repo, rel FROM n WHERE size > 268435456""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
@@ -15,9 +14,10 @@ from pyspark.sql import functions as F
 #: Each kanji or kana is a word by itself, else a run of letters and digits.
 _WORD = re.compile("[぀-ヿ㐀-鿿々]|[^\\W_぀-ヿ㐀-鿿々]+")
 N = 4
-#: Hash buckets of n-grams; the models have two cells for each, whatever the corpus.
-BUCKETS = 1 << 18
-SMOOTH = 0.01
+#: Events of an n-gram: 0 if its hash is new in the text, else 1 + the binary logarithm of how far back it stood.
+EVENTS = 33
+#: The trusted model is smoothed by so many events of the raw corpus.
+PRIOR = 1.0
 
 
 def words(text: str) -> list[str]:
@@ -25,99 +25,103 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def windows(ws: list[str]) -> tuple[list[int], list[bool]]:
-    """Each n-gram's bucket, and whether the n-gram also starts earlier in the text."""
+def repeated_words(ws: list[str]) -> int:
+    """How many words lie in an n-gram that also starts earlier in the text."""
     seen: set[tuple[str, ...]] = set()
-    cells, again = [], []
+    total, upto = 0, 0
     for i in range(len(ws) - N + 1):
         gram = tuple(ws[i : i + N])
-        cells.append(xxhash.xxh64_intdigest("\0".join(gram)) & (BUCKETS - 1))
-        again.append(gram in seen)
-        seen.add(gram)
-    return cells, again
-
-
-def repeated_words(again: list[bool], count: int) -> int:
-    """How many of ``count`` words lie in an n-gram that also starts earlier."""
-    total, upto = 0, 0
-    for i, a in enumerate(again):
-        if a:
+        if gram in seen:
             total += i + N - max(i, upto)
             upto = i + N
-    return min(total, count)
-
-
-def event_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(cell, raw, trusted): occurrences of each event in the whole corpus and in its trusted part. An event is an
-    n-gram's bucket with whether the n-gram already stood in the same text. Trusted are the texts in which none
-    did. Each task emits each cell once."""
+        seen.add(gram)
+    return total
+
+
+def events(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, event) of every n-gram of many texts. Equal n-grams have equal hashes, so that a repeat is never taken
+    for new; one in 2^64 of the others is taken for a repeat."""
+    lengths = np.array([len(ws) for ws in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    if len(owner) < N:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    coded = pa.array([w for ws in texts for w in ws], pa.string()).dictionary_encode()
+    of = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    h = of[coded.indices.to_numpy()]
+    with np.errstate(over="ignore"):
+        gram = np.zeros(len(h) - N + 1, np.uint64)
+        for k in range(N):
+            gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - N + 1 + k]
+    inside = np.flatnonzero(owner[: len(gram)] == owner[N - 1 :])
+    gram, owner = gram[inside], owner[inside]
+    order = np.lexsort((inside, gram, owner))
+    same = (owner[order][1:] == owner[order][:-1]) & (gram[order][1:] == gram[order][:-1])
+    back = np.zeros(len(order), np.int64)
+    back[order[1:]] = np.where(same, np.diff(inside[order]), 0)
+    return owner, np.where(back > 0, 1 + np.log2(np.maximum(back, 1)).astype(np.int64), 0)
+
+
+def event_counts(docs: DataFrame, text: str) -> np.ndarray:
+    """How often each event occurs in all texts, summed within each task first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, trusted = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
+        n = np.zeros(EVENTS, np.int64)
         for batch in batches:
-            all_cells, clean = [], []
-            for t in batch.column(0).to_pylist():
-                if t:
-                    cells, again = windows(words(t))
-                    all_cells += [c + BUCKETS * a for c, a in zip(cells, again)]
-                    if not any(again):
-                        clean += cells
-            raw += np.bincount(np.array(all_cells, np.int64), minlength=2 * BUCKETS)
-            trusted += np.bincount(np.array(clean, np.int64), minlength=2 * BUCKETS)
-        at = np.flatnonzero(raw)
-        for i in range(0, len(at), 1 << 16):
-            k = at[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(raw[k]), pa.array(trusted[k])], ["cell", "raw", "trusted"])
-
-    found = docs.select(text).mapInArrow(count, "cell int, raw bigint, trusted bigint")
-    return found.groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
-
-
-def ratios(counts: DataFrame) -> tuple[np.ndarray, float, float]:
-    """log P(event | raw corpus) - log P(event | trusted) per cell, both with additive smoothing; the least value
-    that an occurring event can have; and by how much the first repeat of an n-gram is above that at least. Both
-    hold since a trusted text has no repeats and trusted counts are never above the raw ones."""
-    rows = counts.toArrow()
-    raw, trusted = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
-    cell = rows["cell"].to_numpy()
-    raw[cell], trusted[cell] = rows["raw"].to_numpy(), rows["trusted"].to_numpy()
-    floor = math.log((trusted.sum() + SMOOTH * 2 * BUCKETS) / (raw.sum() + SMOOTH * 2 * BUCKETS))
-    return np.log((raw + SMOOTH) / (trusted + SMOOTH)) + floor, floor, math.log((1 + SMOOTH) / SMOOTH)
-
-
-def repetition(docs: DataFrame, doc_id: str = "caption_id", text: str = "caption", least_share: float = 0.4) -> DataFrame:
-    """(doc_id, words, repeated, share, ratio, suspect) of every text. ``ratio`` is the mean log-likelihood ratio of
-    its n-grams between the raw corpus and its trusted part; ``suspect`` whether it reaches the threshold; words
-    and repeated count them exactly.
+            n += np.bincount(events([words(t) for t in batch.column(0).to_pylist() if t])[1], minlength=EVENTS)
+        yield pa.RecordBatch.from_arrays([pa.array(range(EVENTS), pa.int32()), pa.array(n)], ["event", "n"])
+
+    out = np.zeros(EVENTS)
+    for r in docs.select(text).mapInArrow(count, "event int, n bigint").groupBy("event").agg(F.sum("n").alias("n")).collect():
+        out[r["event"]] = r["n"]
+    return out
+
+
+def ratios(raw: np.ndarray, trusted: np.ndarray, least_repeats: float) -> tuple[np.ndarray, float]:
+    """log P(event | raw corpus) - log P(event | trusted), and the least mean of it that a text can have of whose n-grams
+    ``least_repeats`` repeat: so many of its events are repeats at least, of which none is below the least one that
+    occurs, and the others are new. PRIOR events of the raw corpus stand beside the trusted ones, so that an event
+    not met there has the same ratio however rare it is."""
+    p = raw / max(raw.sum(), 1)
+    q = (trusted + PRIOR * p) / (trusted.sum() + PRIOR)
+    value = np.log(np.where(raw > 0, p, 1)) - np.log(np.where(raw > 0, q, 1))
+    held = value[1:][raw[1:] > 0]
+    least = held.min() if len(held) else 0.0
+    return value, min(least_repeats * least + (1 - least_repeats) * value[0], least) - 1e-9
+
+
+def repetition(docs: DataFrame, trusted: DataFrame, doc_id: str = "caption_id", text: str = "caption", trusted_text: str = "text", least_share: float = 0.4, every: bool = True) -> DataFrame:
+    """(doc_id, words, repeated, share, ratio, suspect) of every text. ``ratio`` is the mean log-likelihood ratio of the
+    events of its hashed n-grams between the raw corpus (all of ``docs``) and ``trusted``, texts that are written well
+    and not taken from it; ``suspect`` whether it reaches the threshold. ``repeated`` counts the repeated words exactly,
+    if not ``every`` then of suspects only, and is null for the others.
 
     The threshold is the least ratio that a text with ``least_share`` of repeated words can have: at least a
-    share / N of its n-grams are repeats then, so no such text is missed. Null and empty texts, and those of
-    less than N words, have ratio 0, nothing repeated, and are not suspect."""
-    model, floor, step = ratios(event_counts(docs, text))
-    bound = floor + least_share / N * step - 1e-9
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    share / N of its n-grams are repeats then, so no such text is missed, whatever the trusted texts are (without
+    any, all are suspect). Null and empty texts, and those of less than N words, have ratio 0, nothing repeated,
+    and are not suspect."""
+    value, bound = ratios(event_counts(docs, text), event_counts(trusted, trusted_text), least_share / N)
+    known = docs.sparkSession.sparkContext.broadcast(value)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value = known.value
         for batch in batches:
-            n, repeated, ratio = [], [], []
-            for t in batch.column(1).to_pylist():
-                ws = words(t) if t else []
-                cells, again = windows(ws)
-                n.append(len(ws))
-                repeated.append(repeated_words(again, len(ws)))
-                ratio.append(float(value[np.array(cells) + BUCKETS * np.array(again)].mean()) if cells else 0.0)
-            out = [batch.column(0), pa.array(n, pa.int32()), pa.array(repeated, pa.int32()), pa.array(ratio, pa.float64())]
-            yield pa.RecordBatch.from_arrays(out, ["id", "words", "repeated", "ratio"])
+            texts = [words(t) if t else [] for t in batch.column(1).to_pylist()]
+            owner, event = events(texts)
+            grams = np.bincount(owner, minlength=len(texts))
+            ratio = np.bincount(owner, value[event], len(texts)) / np.maximum(grams, 1)
+            suspect = (grams > 0) & (ratio >= bound)
+            repeated = [repeated_words(ws) if s or every else None for ws, s in zip(texts, suspect)]
+            out = [batch.column(0), pa.array([len(ws) for ws in texts], pa.int32()), pa.array(repeated, pa.int32()), pa.array(ratio), pa.array(suspect)]
+            yield pa.RecordBatch.from_arrays(out, ["id", "words", "repeated", "ratio", "suspect"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    scored = docs.select(doc_id, text).mapInArrow(score, f"id {kind}, words int, repeated int, ratio double")
-    share = F.coalesce(F.try_divide("repeated", "words"), F.lit(0.0))
-    suspect = (F.col("ratio") >= bound) & (F.col("words") >= N)
-    return scored.select(F.col("id").alias(doc_id), "words", "repeated", share.alias("share"), "ratio", suspect.alias("suspect"))
+    scored = docs.select(doc_id, text).mapInArrow(score, f"id {kind}, words int, repeated int, ratio double, suspect boolean")
+    share = F.when(F.col("repeated").isNotNull(), F.coalesce(F.try_divide("repeated", "words"), F.lit(0.0)))
+    return scored.select(F.col("id").alias(doc_id), "words", "repeated", share.alias("share"), "ratio", "suspect")
 
 
-def repetitive(docs: DataFrame, doc_id: str = "caption_id", text: str = "caption", percent: int = 40, least_words: int = 12) -> DataFrame:
-    """(doc_id) of the suspects with at least ``least_words`` words, ``percent`` % or more of them repeated."""
-    r = repetition(docs, doc_id, text, percent / 100)
+def repetitive(docs: DataFrame, trusted: DataFrame, doc_id: str = "caption_id", text: str = "caption", percent: int = 40, least_words: int = 12) -> DataFrame:
+    """(doc_id) of the suspects with at least ``least_words`` words, ``percent`` % or more of them repeated. Only suspects
+    are counted word by word."""
+    r = repetition(docs, trusted, doc_id, text, least_share=percent / 100, every=False)
     return r.where(F.col("suspect") & (F.col("words") >= least_words) & (F.col("repeated") * 100 >= F.col("words") * percent)).select(doc_id)
