@@ -48,6 +48,30 @@ def dataset_reference(raw: Column) -> Column:
     return F.struct(F.when(found, F.regexp_extract(s, address, 1)).otherwise(bare).alias("repo"), F.when(found, folder).alias("subfolder"))
 
 
+def file_reference(raw: Column) -> Column:
+    """struct(repo, filename) of the direct address of a dataset's file; both null for others."""
+    s = F.trim(raw)
+    address = rf"^https?://huggingface\.co/(?:datasets/)?({_PAIR_NAME})/resolve/[^/]+/([^?#]+)"
+    found = F.rlike(s, F.lit(address))
+    return F.struct(F.when(found, F.regexp_extract(s, address, 1)).alias("repo"), F.when(found, F.regexp_extract(s, address, 2)).alias("filename"))
+
+
+def lenient_reference(raw: Column) -> Column:
+    """The repository of any address or name: its first two segments after the host and ``datasets``; null if there are fewer."""
+    s = F.regexp_replace(F.trim(raw), r"^https?://huggingface\.co/(?:datasets/)?", "")
+    return F.nullif(F.regexp_extract(s, r"^([^/]+/[^/?#]+)", 1), F.lit(""))
+
+
+def auto_repo_id(namespace: Column, root: Column, kind: str = "", seed: Column | None = None) -> Column:
+    """``namespace/name``: the name of a folder, after that of a seed, or before ``-kind``, as a repository name."""
+    name = F.substring_index(F.rtrim(root, F.lit("/")), "/", -1)
+    if seed is not None:
+        name = F.concat(seed, F.lit("-"), name)
+    if kind:
+        name = F.concat(name, F.lit(f"-{kind}"))
+    return F.concat(namespace, F.lit("/"), repo_name(name))
+
+
 def request_id(rel: Column, path: Column) -> Column:
     """``req_`` and the SHA-1 of the relative path, or of the absolute one if the relative leaves its folder."""
     return F.concat(F.lit("req_"), F.sha1(F.when(F.startswith(rel, F.lit("..")), path).otherwise(F.coalesce(rel, path))))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shardloom.functions.text import base_request_id
+from shardloom.operators.ordered import running
 
 #: States in which a request isn't sent again.
 SENT = ("submitted", "succeeded")
@@ -60,21 +61,23 @@ def unprocessed(items: DataFrame, processed: DataFrame, keys: list[str], request
 
 
 def rolling_count(calls: DataFrame, at: str, seconds: int, key: str) -> DataFrame:
-    """(key, at, calls): how many calls lie in the ``seconds`` up to and including each call. Calls are partitioned by
-    stretches of that length, each with a copy of those before it, so that no task sees the whole order."""
+    """(key, at, calls): how many calls lie in the ``seconds`` up to and including each call. Calls of one moment are
+    counted first; moments are partitioned by stretches of that length, each with a copy of those before it, so that
+    no task sees the whole order. Without a time there is no count."""
     us = F.unix_micros(F.col(at).cast("timestamp"))
     width = seconds * 1_000_000
-    own = calls.select(key, at, us.alias("us"), F.floor(us / width).alias("bucket"), F.lit(True).alias("own"))
+    timed = calls.select(key, at, us.alias("us"))
+    own = timed.groupBy("us").agg(F.count("*").alias("n")).withColumn("bucket", F.floor(F.col("us") / width)).withColumn("own", F.lit(True))
     both = own.unionByName(own.withColumn("bucket", F.col("bucket") + 1).withColumn("own", F.lit(False)))
     trailing = Window.partitionBy("bucket").orderBy("us").rangeBetween(-width, 0)
-    return both.withColumn("calls", F.count("*").over(trailing)).where("own").select(key, at, "calls")
+    moments = both.withColumn("calls", F.sum("n").over(trailing)).where("own").select("us", "calls")
+    return timed.join(moments, "us", "left").select(key, at, "calls")
 
 
 def zero_streaks(polls: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
     """(key, streak): the longest run of polls in order whose value is 0."""
-    w = Window.partitionBy(key).orderBy(*order)
     zero = F.coalesce(F.col(value) == 0, F.lit(False))
-    marked = polls.select(key, zero.alias("z"), F.sum(F.when(zero, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("island"))
+    marked = running(polls.select(key, *order, zero.alias("z")), [key], order, F.when(F.col("z"), 0).otherwise(1), "island")
     return marked.groupBy(key, "island").agg(F.count_if("z").alias("run")).groupBy(key).agg(F.max("run").alias("streak"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-import os
+import posixpath
 import tarfile
 import zipfile
 from collections.abc import Iterator
@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardloom.operators.ordered import rank, with_group
 from shardloom.session import cut_lineage
+from shardloom.sources.state import exists, write_atomic
 
 #: A group of more entries is cut into ranges of its order, each of which is one task's work; the shards run on over them.
 LARGE = 500_000
@@ -97,8 +99,7 @@ def pack(df: DataFrame, group: str, order: str, size: Column, capacity: int, lar
     the summaries are gone through in order, and each range is packed from the state that the ranges before it left; so
     the shards are those of one pass over the whole group."""
     rows = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.greatest(size, F.lit(0)).cast("bigint").alias("bytes"))
-    counts = rows.groupBy(F.col("g").alias("of")).agg(F.count("*").alias("n"))
-    marked = rows.join(counts, F.col("g").eqNullSafe(F.col("of"))).select("g", "o", "bytes", (F.col("n") > large).alias("big"))
+    marked = with_group(rows, rows.groupBy("g").agg(F.count("*").alias("n")), "g").select("g", "o", "bytes", (F.col("n") > large).alias("big"))
     before = [F.lit(x).cast(kind).alias(c) for x, c, kind in zip(FIRST, ("at", "used", "count", "closed"), ("bigint", "bigint", "bigint", "boolean"))]
     split = marked.where(~F.col("big")).select("g", "o", "bytes", F.lit(0).alias("range"), *before)
     ranges = max(1, -(-(marked.where("big").count()) // large))
@@ -148,48 +149,99 @@ def sample_keys(rank: Column) -> Column:
     return F.format_string("%06d", rank)
 
 
+def sample_numbers(df: DataFrame, order: list[str], name: str = "key") -> DataFrame:
+    """``df`` with each row's key: its place in order over the whole table, from 0, with six digits at least."""
+    return rank(df, [], order, "__n").withColumn(name, sample_keys(F.col("__n") - 1)).drop("__n")
+
+
+def chunks(df: DataFrame, groups: list[str], order: list[str], size: int) -> DataFrame:
+    """``df`` with ``chunk``: every ``size`` rows of a group in order, from 0."""
+    return rank(df, groups, order, "__n").withColumn("chunk", F.floor((F.col("__n") - 1) / size).cast("int")).drop("__n")
+
+
+def tree(member: str) -> str | None:
+    """A member's place within the folder it is extracted to; null if it would leave it, or is none."""
+    at = posixpath.normpath(member.replace("\\", "/"))
+    return None if at.startswith(("/", "..")) or at == "." or at[1:2] == ":" else at
+
+
 def write_archives(manifest: DataFrame, folder: str, kind: str = "tar") -> DataFrame:
     """(shard, path, members, bytes): writes a tar or a stored zip of each shard of (shard, seq, name, content) into
-    ``folder``, which all executors share. Members are in order of seq; a file is written beside its name and renamed,
-    so that a repeated task leaves one. A shard's size is bounded by its packing."""
+    ``folder``, an address in a file system that all executors share. Members are in order of seq; a file is written
+    beside its name and renamed, so that a repeated task leaves one. A shard's size is bounded by its packing; it is made
+    in the memory of one task."""
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
         shard = str(pdf["shard"].iloc[0])
-        final = os.path.join(folder, f"{shard}.{kind}")
-        part = f"{final}.{os.getpid()}.part"
-        os.makedirs(folder, exist_ok=True)
+        made = io.BytesIO()
         if kind == "tar":
-            with tarfile.open(part, "w") as out:
+            with tarfile.open(fileobj=made, mode="w") as out:
                 for name, content in zip(pdf["name"], pdf["content"]):
                     info = tarfile.TarInfo(name)
                     info.size = len(content)
                     out.addfile(info, io.BytesIO(content))
         else:
-            with zipfile.ZipFile(part, "w", zipfile.ZIP_STORED) as out:
+            with zipfile.ZipFile(made, "w", zipfile.ZIP_STORED) as out:
                 for name, content in zip(pdf["name"], pdf["content"]):
                     out.writestr(zipfile.ZipInfo(name), content)
-        os.replace(part, final)
-        return pd.DataFrame({"shard": [shard], "path": [final], "members": [len(pdf)], "bytes": [os.path.getsize(final)]})
+        final = f"{folder.rstrip('/')}/{shard}.{kind}"
+        write_atomic(final, made.getvalue())
+        return pd.DataFrame({"shard": [shard], "path": [final], "members": [len(pdf)], "bytes": [len(made.getvalue())]})
 
     return manifest.select(F.col("shard").cast("string").alias("shard"), "seq", "name", "content").groupBy("shard").applyInPandas(write, "shard string, path string, members bigint, bytes bigint")
 
 
+def dataset_info(archives: DataFrame, split: str) -> DataFrame:
+    """(info): JSON of a split's shards and samples."""
+    return archives.agg(F.to_json(F.struct(F.lit(split).alias("split"), F.count("*").alias("shards"), F.coalesce(F.sum("members"), F.lit(0)).alias("samples"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))).alias("info"))
+
+
+def _members(content: bytes | None) -> list[zipfile.ZipInfo] | None:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            return z.infolist()
+    except (zipfile.BadZipFile, TypeError):
+        return None
+
+
 def unzipped(archives: DataFrame) -> DataFrame:
     """(path, member, size, safe) of the members of zip archives (path, content): unsafe are those that would leave their
     folder. A broken archive has no members."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for m in z.infolist():
-                            at = os.path.normpath(m.filename.replace("\\", "/"))
-                            rows.append((path, m.filename, m.file_size, not (at.startswith(("/", "..")))))
-                except (zipfile.BadZipFile, TypeError):
-                    continue
+            rows = [(path, m.filename, m.file_size, tree(m.filename) is not None) for path, content in zip(pdf["path"], pdf["content"]) for m in _members(content) or ()]
             yield pd.DataFrame(rows, columns=["path", "member", "size", "safe"])
 
     return archives.select("path", "content").mapInPandas(read, "path string, member string, size bigint, safe boolean")
+
+
+def extract(archives: DataFrame, folder: str) -> DataFrame:
+    """(path, outcome, files): extracts zip archives (path, content) into ``folder``/<name without extension>: ``extracted``;
+    ``skipped`` where the marker ``<path>.extracted.ok`` stands already; ``failed`` for a broken archive or one with a
+    member that would leave the folder, of which nothing is written. The marker comes last, so that a lost task
+    extracts again what it had not finished."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                marker = f"{path}.extracted.ok"
+                if exists(marker):
+                    rows.append((path, "skipped", 0))
+                    continue
+                members = _members(content)
+                if members is None or any(tree(m.filename) is None for m in members if not m.is_dir()):
+                    rows.append((path, "failed", 0))
+                    continue
+                root = f"{folder.rstrip('/')}/{posixpath.splitext(posixpath.basename(path))[0]}"
+                files = [m for m in members if not m.is_dir()]
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for m in files:
+                        write_atomic(f"{root}/{tree(m.filename)}", z.read(m))
+                write_atomic(marker, b"")
+                rows.append((path, "extracted", len(files)))
+            yield pd.DataFrame(rows, columns=["path", "outcome", "files"])
+
+    return archives.select("path", "content").mapInPandas(run, "path string, outcome string, files int")

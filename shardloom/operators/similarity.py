@@ -24,6 +24,20 @@ def frame_groups(frames: DataFrame, key: str, suffix: str, path: str) -> DataFra
     return g.where("a is not null and b is not null").withColumn("dataset", kind)
 
 
+def copy_plan(groups: DataFrame, key: str) -> DataFrame:
+    """(key, src, dst): where the frames of ``frame_groups`` are copied to: ``dataset_<n>/<name><suffix><extension>``, the name
+    being the key with ``__`` for ``/``. The frames of a group are in order A, B, C, base; missing ones have no row."""
+    named = F.array(*(F.struct(F.col(c).alias("src"), F.lit(x).alias("suffix")) for c, x in (("a", "_A"), ("b", "_B"), ("c", "_C"), ("base", "_image_base"))))
+    rows = groups.select(key, "dataset", F.inline(named)).where("src is not null")
+    dst = F.concat(F.lit("dataset_"), F.col("dataset").cast("string"), F.lit("/"), F.replace(F.col(key), F.lit("/"), F.lit("__")), "suffix", F.regexp_extract("src", r"\.[^./]*$", 0))
+    return rows.select(key, "src", dst.alias("dst"))
+
+
+def mean_score(scores: Column) -> Column:
+    """The mean of the scores that there are; 0 without any."""
+    return F.coalesce(F.avg(scores), F.lit(0.0))
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two vectors, cut to 0..1; 0 if one has no length. Null for null or different lengths."""
     total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x)

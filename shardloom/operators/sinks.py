@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.functions.tags import strip
+from shardloom.sources.state import exists, write_atomic
 
 
 def caption_line(tags: Column, sep: str = ", ", existing: Column | None = None, prepend: str = "") -> Column:
@@ -30,24 +30,51 @@ def sidecar_json(fields: Column, raw: Column, caption: Column, video: Column) ->
     return F.to_json(F.map_concat(F.create_map(F.lit("video"), video, F.lit("caption"), caption, F.lit("raw"), raw), others))
 
 
-def write_sidecars(captions: DataFrame, ext: str = ".txt") -> DataFrame:
-    """(stem, written): writes text (stem, text) beside its media, by a rename; null and empty texts are skipped."""
+def plain_caption(caption: Column, prepend: str = "") -> Column:
+    """The text of a caption file as the video pipeline writes it: what is put before stands right before; null for null."""
+    return F.concat(F.lit(prepend), caption)
+
+
+def similarity_json(combined: Column) -> Column:
+    """JSON of a pair's similarity, with two decimals, ties to even."""
+    return F.to_json(F.struct(F.bround(combined, 2).alias("combined")))
+
+
+def write_sidecars(captions: DataFrame, ext: str = ".txt", overwrite: bool = True, end: str = "\n") -> DataFrame:
+    """(stem, written): writes text (stem, text) beside its media, in the file system of its address, by a rename; null and
+    empty texts are skipped, and files that exist if not ``overwrite``. A repeated task writes the same again."""
 
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             done = []
             for stem, text in zip(pdf["stem"], pdf["text"]):
-                if text:
-                    part = f"{stem}{ext}.{os.getpid()}.part"
-                    with open(part, "w", encoding="utf-8") as f:
-                        f.write(text + "\n")
-                    os.replace(part, stem + ext)
-                done.append(bool(text))
+                wanted = bool(text) and (overwrite or not exists(stem + ext))
+                if wanted:
+                    write_atomic(stem + ext, (text + end).encode("utf-8"))
+                done.append(wanted)
             yield pd.DataFrame({"stem": pdf["stem"], "written": done})
 
     return captions.select("stem", "text").mapInPandas(write, "stem string, written boolean")
 
 
+def write_captions_with_json(captions: DataFrame, overwrite: bool = False) -> DataFrame:
+    """(stem, written): writes JSON and then text (stem, json, text) beside the media; where there is JSON already and not
+    ``overwrite`` neither is written."""
+
+    def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            done = []
+            for stem, value, text in zip(pdf["stem"], pdf["json"], pdf["text"]):
+                wanted = bool(text) and (overwrite or not exists(f"{stem}.json"))
+                if wanted:
+                    write_atomic(f"{stem}.json", value.encode("utf-8"))
+                    write_atomic(f"{stem}.txt", (text + "\n").encode("utf-8"))
+                done.append(wanted)
+            yield pd.DataFrame({"stem": pdf["stem"], "written": done})
+
+    return captions.select("stem", "json", "text").mapInPandas(write, "stem string, written boolean")
+
+
 def write_jsonl(captions: DataFrame, folder: str) -> None:
     """Appends one JSON object per row."""
     captions.write.mode("append").option("ignoreNullFields", "false").json(folder)

@@ -12,6 +12,8 @@ from shardloom import boundary
 from shardloom.functions import media, results, tags, text
 from shardloom.functions.paths import base_name, parent, stem_of
 from shardloom.operators import compaction, jobs, scan, shards, similarity, sinks, tagging
+from shardloom.plans import media as media_plans
+from shardloom.plans import requests as request_plans
 from shardloom.session import shared_dir
 from shardloom.sources import table
 from shardloom.streaming import state
@@ -133,7 +135,7 @@ def archive(kind: str) -> Query:
     """Text documents of each repository as archives in the shared folder."""
 
     def run(s: SparkSession, d: str) -> DataFrame:
-        folder = f"{shared_dir(s).removeprefix('file:').replace('//', '/')}/{kind}-{uuid.uuid4().hex[:8]}"
+        folder = f"{shared_dir(s).rstrip('/')}/{kind}-{uuid.uuid4().hex[:8]}"
         docs = table(s, d, "documents").where("text is not null").select("repo", F.format_string("%012d", "doc_id").alias("name"), "text")
         placed = shards.pack(docs, "repo", "name", F.octet_length("text"), 1 << 20, most=5000)
         # A shard may run over two ranges, so that no range is in its name.
@@ -235,6 +237,8 @@ def queries() -> dict[str, Query]:
         "tar_write": archive("tar"),
         "zip_write": archive("zip"),
         "stream_state": stream_states,
+        **request_plans.queries(),
+        **media_plans.queries(),
     }
 
 
@@ -373,4 +377,6 @@ def oracle_sql() -> dict[str, str]:
         "source_classify": "SELECT DISTINCT path, repo, CASE WHEN length(path) % 2 = 0 THEN 'hf_file' ELSE 'hf_dataset' END AS far, CASE WHEN regexp_matches(repo, '^[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+$') THEN 'hf_dataset' ELSE 'unknown' END AS near, CASE WHEN regexp_matches(repo, '^[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+$') THEN 'raw' END AS subfolder FROM manifest",
         "repo_sanitize": f"SELECT folder, coalesce(nullif({sanitised}, ''), 'dataset') AS name FROM (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder FROM manifest)",
         "sample_deterministic": "SELECT doc_id FROM documents ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT 100",
+        **request_plans.oracle_sql(),
+        **media_plans.oracle_sql(),
     }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.functions.tags import strip
+from shardloom.sources.state import exists, file_system
 
 
 def listing(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
@@ -67,3 +68,19 @@ def prompt_profiles(spark: SparkSession, folder: str) -> DataFrame:
     at = raw.select(F.element_at(parts, -3).alias("mode"), F.element_at(parts, -2).alias("profile"), F.element_at(parts, -1).alias("file"), strip(F.decode("content", "utf-8")).alias("t"))
     by = at.groupBy("mode", "profile").agg(*(F.max(F.when(F.col("file") == f"{n}_prompt.md", F.col("t"))).alias(n) for n in ("system", "user")))
     return by.where("system is not null").orderBy("mode", F.when(F.col("profile") == "default", 0).otherwise(1), "profile")
+
+
+def prompt(folder: str, kind: str, mode: str, profile: str, override: str | None = None, default: str = "") -> str:
+    """The text of ``<kind>_prompt.md``, stripped: of the ``override`` file, which must exist if it is given, else the first
+    that exists of ``<folder>/<mode>/<profile>``, ``<folder>/<mode>`` and ``<folder>``, else ``default``."""
+    if override is not None:
+        fs, path = file_system(override)
+        with fs.open_input_stream(path) as f:
+            return f.read().decode("utf-8").strip()
+    root = folder.rstrip("/")
+    for at in (f"{root}/{mode}/{profile}", f"{root}/{mode}", root):
+        if exists(uri := f"{at}/{kind}_prompt.md"):
+            fs, path = file_system(uri)
+            with fs.open_input_stream(path) as f:
+                return f.read().decode("utf-8").strip()
+    return default
