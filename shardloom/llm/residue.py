@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,6 +135,19 @@ _SLOT = re.compile(
     re.X,
 )
 _HINT = re.compile(r"[{%$#@\[<~〇○＿]|__|XXXX")
+# Slots as templates mark them, from which the model of slots is fitted; NAME stands for any of NAMES.
+SLOTS = """
+{{NAME}} {{ NAME }} ${NAME} #{NAME} <%= NAME %> <%NAME%> %(NAME)s %(NAME)d %NAME% %s %d {NAME} {} {0} [[NAME]] <<NAME>>
+[TODO] [TBD] [TODO: NAME] [FIXME NAME] [INSERT NAME] [ENTER NAME] [ADD NAME] [YOUR NAME] [NAME] [PLACEHOLDER] [insert NAME here] [NAME here] [NAME text] [NAME title] [NAME_caption]
+<INSERT NAME> <ENTER NAME HERE> <YOUR NAME> <ADD NAME> <TODO> <insert NAME> <enter NAME here> <your NAME> <add NAME>
+__NAME__ @@NAME@@ ##NAME## $NAME$ ~~NAME~~ XXXX XXXXXX 〇〇 〇〇〇 ○○ ＿＿＿ ＿＿＿＿ ____ ______
+"""
+NAMES = "title;value;caption;subject;scene_text;user name;NAME;VALUE;CAPTION_TEXT;USER NAME;x;item1;a.b"
+AROUND = "^;a ^ a;^ a;^, a;a: ^;0 ^ a;0 ^。;a ^.;a ^;\"^\";a=^;(^);/^/"
+#: Words that say what a slot waits for; in shapes they stand apart from others.
+WAITING = frozenset("todo tbd fixme insert enter add your name placeholder text title here description caption tag tags date style place note".split())
+#: Pieces of an n-gram of shapes, buckets of their models, n-grams of a window.
+PIECES, SHAPES, SPAN = 3, 1 << 16, 3
 # Words of a sentence that speaks about slots.
 _ABOUT = re.compile(r"\b(?:placeholders?|templates?|variables?|brackets?|braces?|literals?|syntax|loader|profiles?|unfilled|escaped?|explained|replaced by|converted)\b", re.I)
 
@@ -229,9 +243,10 @@ def _unquoted(part: str) -> str:
     return _QUOTED.sub(lambda m: m[0] if _CLOSED.match(m[0]) else "\0" * len(m[0]), part)
 
 
-def _read(text: str) -> Iterator[tuple[str, str, list[str]]]:
-    """Each sentence, as it is and without quotations and code, and its unfilled slots. Quotation marks are paired over
-    the whole line, before it is cut into sentences; strings of JSON stay. No slot is in a quotation or code, nor where
+def _read(text: str, ratios: np.ndarray | None) -> Iterator[tuple[str, str, list[str]]]:
+    """Each sentence, as it is and without quotations and code, and its unfilled slots: windows of ``ratios`` localise
+    them (None: anywhere), the ways in which templates mark a slot are looked for there. Quotation marks are paired
+    over the whole line, before it is cut into sentences; strings of JSON stay. No slot is in a quotation or code, nor where
     the sentence speaks about slots in other words than the slot's, within the same string of JSON or outside of any."""
     for line in _LINE.split(repair(text)):
         parts = _parts(line)
@@ -242,38 +257,114 @@ def _read(text: str) -> Iterator[tuple[str, str, list[str]]]:
             if not whole:
                 continue
             found = []
-            if _HINT.search(whole) and _SLOT.search(whole):
+            if _HINT.search(whole):
                 inner = [(max(a, x), min(b, y), held) for x, y, held in parts if x < b and y > a]
                 for spans in ([(x, y) for x, y, held in inner if not held], *([(x, y)] for x, y, held in inner if held)):
                     seen, said = (_SPACE.sub(" ", '"'.join(s[x:y] for x, y in spans)) for s in (bare, line))
-                    slot = [m[0] for m in _SLOT.finditer(_GAP.sub(" ", seen))]
+                    seen = _GAP.sub(" ", seen)
+                    marked = [(0, len(seen))] if ratios is None else slot_windows(seen, ratios)
+                    slot = [m[0] for m in _SLOT.finditer(seen) if any(x < m.end() and y > m.start() for x, y in marked)] if marked else []
                     if slot and not _ABOUT.search(_SLOT.sub(" ", said)):
                         found += slot
             yield whole, _GAP.sub(" ", _SPACE.sub(" ", bare[a:b]).strip(" \ufeff")), found
 
 
-def slots(text: str) -> list[str]:
+def slots(text: str, ratios: np.ndarray | None = None) -> list[str]:
     """The unfilled slots of a text."""
-    return [x for _, _, found in _read(text) for x in found]
+    return [x for _, _, found in _read(text, ratios) for x in found]
+
+
+_PIECE = re.compile(r"[^\W\d_]+|\d+|\s+|.", re.S)
+_PLAIN = frozenset("aA0 .,;:!?-'()/\"")
+
+
+def shape(text: str) -> tuple[str, list[int]]:
+    """A text with one character for each piece, and where each piece ends: of a word a, A, w or W (in capitals, one that
+    says what a slot waits for), its letter if it has one, X or 〇 if it repeats that; of digits 0; of white space a
+    space; of any other character itself."""
+    out, ends = [], []
+    for m in _PIECE.finditer(text):
+        w = m[0]
+        if w[0].isalpha() or w[0].isnumeric() and not w[0].isdecimal():
+            if w[0] in "X〇○" and len(w) > 1 and len(set(w)) == 1:
+                c = w[0]
+            elif len(w) == 1 and w.isascii():
+                c = w
+            else:
+                c = ("W" if w.isupper() else "w") if w.lower() in WAITING else "A" if w.isupper() else "a"
+        else:
+            c = "0" if w[0].isdecimal() else " " if w[0].isspace() else w[0]
+        out.append(c)
+        ends.append(m.end())
+    return "".join(out), ends
+
+
+def _shape_grams(shaped: str) -> np.ndarray:
+    """The bucket of each PIECES pieces, with spaces at both ends, so that each piece is in PIECES n-grams; 0 for those
+    without a mark."""
+    text = f"  {shaped}  "
+    grams = (text[i : i + PIECES] for i in range(len(text) - PIECES + 1))
+    return np.array([0 if _PLAIN.issuperset(g) else 1 + zlib.crc32(g.encode("utf-8", "surrogatepass")) % (SHAPES - 1) for g in grams], np.int64)
+
+
+def _slot_counts() -> np.ndarray:
+    """The n-grams of shapes that hold a piece of a slot."""
+    n = np.zeros(SHAPES)
+    for form in re.findall(r"\[[^\[\]]+\]|<[A-Za-z][^<>]+>|\S+", SLOTS.replace("{{ NAME }}", "{{_NAME_}}").replace("<%= NAME %>", "<%=_NAME_%>")):
+        for name in NAMES.split(";"):
+            slot = shape(form.replace("_NAME_", " NAME ").replace("NAME", name))[0]
+            for around in AROUND.split(";"):
+                before, after = around.split("^")
+                grams = _shape_grams(before + slot + after)
+                own = grams[len(before) : len(before) + len(slot) + PIECES - 1]
+                n += np.bincount(own[own > 0], minlength=SHAPES)
+    return n
+
+
+def slot_ratios(natural: np.ndarray) -> np.ndarray:
+    """Log-ratio of slots to natural text of each bucket of shapes."""
+    slot, all_ = _slot_counts(), max(1, natural.sum())
+    return np.log((1 - UNIFORM) * slot / slot.sum() + UNIFORM / SHAPES) - np.log((1 - UNIFORM) * natural / all_ + UNIFORM / SHAPES)
+
+
+def slot_windows(text: str, ratios: np.ndarray) -> list[tuple[int, int]]:
+    """Where in a text windows of SPAN n-grams of shapes speak for a slot: (begin, end) of each such run."""
+    shaped, ends = shape(text)
+    sums = np.concatenate([[0.0], np.cumsum(ratios[_shape_grams(shaped)])])
+    out: list[tuple[int, int]] = []
+    for i in np.flatnonzero(sums[SPAN:] - sums[:-SPAN] >= 0).tolist() if ends else ():
+        # N-gram i reaches from piece i - 2 to piece i.
+        begin, end = ends[i - PIECES] if i >= PIECES else 0, ends[min(len(ends), i + SPAN) - 1]
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return out
 
 
-def natural_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """How often each bucket's n-grams stand in the sentences of the whole corpus."""
+def natural_counts(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket's n-grams of characters, and each bucket's of shapes, stand in the sentences of the whole
+    corpus. A sentence without any mark of slots counts as many shapes without one as it has characters."""
+    size = BUCKETS + SHAPES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(BUCKETS, np.int64)
+        n = np.zeros(size, np.int64)
         for batch in batches:
             for part in _chunks(batch.column(0).to_pylist()):
-                n += np.bincount(_Grams([plain(s) for t in part if t for s in sentences(t)]).buckets, minlength=BUCKETS)
+                all_ = [s for t in part if t for s in sentences(t)]
+                n[:BUCKETS] += np.bincount(_Grams([plain(s) for s in all_]).buckets, minlength=BUCKETS)
+                marked = [_shape_grams(shape(s)[0]) for s in all_ if _HINT.search(s)]
+                n[BUCKETS:] += np.bincount(np.concatenate(marked), minlength=SHAPES) if marked else 0
+                n[BUCKETS] += sum(len(s) for s in all_ if not _HINT.search(s))
         at = np.flatnonzero(n)
         for i in range(0, len(at), 1 << 16):
             k = at[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(n[k])], ["bucket", "n"])
 
     rows = docs.select(text).mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS)
+    out = np.zeros(size)
     out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return out
+    return out[:BUCKETS], out[BUCKETS:]
 
 
 def _log_model(counts: np.ndarray) -> np.ndarray:
@@ -291,11 +382,11 @@ def log_ratios(natural: np.ndarray) -> np.ndarray:
     return np.array(rows, np.float32)
 
 
-def inspect(texts: list[str | None], ratios: np.ndarray) -> list[tuple[int, int, int, bool]]:
+def inspect(texts: list[str | None], ratios: np.ndarray, shapes: np.ndarray | None = None) -> list[tuple[int, int, int, bool]]:
     """(slots, residue characters, other characters, excluded) of each document. Quotations are no residue."""
     found, kept, owner, whole = [0] * len(texts), [], [], []
     for i, t in enumerate(texts):
-        for s, bare, unfilled in _read(t) if t else ():
+        for s, bare, unfilled in _read(t, shapes) if t else ():
             found[i] += len(unfilled)
             if not chrome(s):
                 kept.append(plain(bare))
@@ -320,12 +411,13 @@ def residues(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """(doc_id, slots, residue, other, excluded) of every document: the number of unfilled slots, the characters in
     sentences of filler, error pages and script notices, those in other sentences but menus, and whether the
     document is to be excluded. Null and empty texts hold none and stay."""
-    models = docs.sparkSession.sparkContext.broadcast(log_ratios(natural_counts(docs, text)))
+    natural, shapes = natural_counts(docs, text)
+    models = docs.sparkSession.sparkContext.broadcast((log_ratios(natural), slot_ratios(shapes)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = models.value
+        ratios, marks = models.value
         for batch in batches:
-            found = [x for part in _chunks(batch.column(1).to_pylist()) for x in inspect(part, ratios)]
+            found = [x for part in _chunks(batch.column(1).to_pylist()) for x in inspect(part, ratios, marks)]
             n, residue, other, excluded = zip(*found) if found else ((), (), (), ())
             out = [batch.column(0), pa.array(n, pa.int32()), pa.array(residue, pa.int64()), pa.array(other, pa.int64()), pa.array(excluded, pa.bool_())]
             yield pa.RecordBatch.from_arrays(out, ["id", "slots", "residue", "other", "excluded"])
