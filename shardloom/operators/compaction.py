@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from shardloom.functions.paths import hidden, plain_path, unfinished
@@ -65,32 +64,106 @@ def consolidated_files(manifest: DataFrame, small: int = SMALL, target: int = TA
     return consolidation_plan(manifest, small, target).groupBy("range", "file").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.min("path").alias("first_path"), F.max("path").alias("last_path"))
 
 
-def _fingerprint(df: DataFrame) -> tuple:
+def _comparable(column: Column, kind: T.DataType) -> Column:
+    """A column that a hash can be made of: a map as the sorted hashes of its entries, wherever it is nested."""
+    if isinstance(kind, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(column), lambda e: F.xxhash64(_comparable(e["key"], kind.keyType), _comparable(e["value"], kind.valueType))))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _comparable(x, kind.elementType)) if "map<" in kind.simpleString() else column
+    if isinstance(kind, T.StructType) and "map<" in kind.simpleString():
+        parts = (_comparable(column[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields))
+        return F.when(column.isNotNull(), F.struct(*parts))
+    return column
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of a row's values and of which of them are null, so that null differs from what has the same hash."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    columns = [_comparable(F.col(f"`{f.name}`"), f.dataType) for f in fields]
+    return F.xxhash64(*columns, *(c.isNull() for c in columns)) if columns else F.lit(0).cast("bigint")
+
+
+def fingerprint(df: DataFrame) -> tuple:
     """Rows, and an order-free sum of their hashes."""
-    names = sorted(c for c, kind in df.dtypes if not kind.startswith("map"))
-    row = F.xxhash64(*(F.col(f"`{c}`") for c in names)) if names else F.lit(0)
-    return tuple(df.agg(F.count("*"), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0))).first())
+    return tuple(df.agg(F.count("*"), F.coalesce(F.sum(_row_hash(df).cast("decimal(38,0)")), F.lit(0))).first())
+
+
+class _Folders:
+    """A dataset's folder, what stands beside it while it is rewritten, and the journal that says so."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.path_of = spark._jvm.org.apache.hadoop.fs.Path
+        self.path = self.path_of(folder.rstrip("/"))
+        self.fs = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.new, self.old, self.journal = (self.path_of(self.path.getParent(), f".{self.path.getName()}-{x}") for x in ("new", "old", "journal"))
+
+    def size(self) -> int:
+        return self.fs.getContentSummary(self.path).getLength()
+
+    def begin(self) -> None:
+        self.fs.create(self.journal, True).close()
+
+    def swap(self) -> None:
+        if not (self.fs.rename(self.path, self.old) and self.fs.rename(self.new, self.path)):
+            raise RuntimeError(f"could not swap {self.path}; recover() finishes it")
+
+    def clear(self) -> None:
+        for p in (self.new, self.old, self.journal):
+            self.fs.delete(p, True)
+
+
+def recover(spark: SparkSession, folder: str) -> str:
+    """Finishes a rewriting that broke off: ``none`` if there was none; ``undone`` if the swap had not begun (the new files
+    go); ``finished`` if the old folder had moved away: the new one, complete by then, takes its name."""
+    f = _Folders(spark, folder)
+    if not f.fs.exists(f.journal):
+        # Without a journal no swap had begun: what stands beside is incomplete.
+        begun = f.fs.exists(f.new)
+        f.fs.delete(f.new, True)
+        return "undone" if begun else "none"
+    moved = f.fs.exists(f.old)
+    if moved and not f.fs.exists(f.path) and not f.fs.rename(f.new, f.path):
+        raise RuntimeError(f"could not move {f.new} to {folder}")
+    f.clear()
+    return "finished" if moved else "undone"
+
+
+def partition_columns(df: DataFrame, folder: str) -> list[str]:
+    """The columns by which the folder's files are laid out, ``<column>=<value>`` for each."""
+    one = next(iter(df.inputFiles()), "")
+    name = "/" + folder.rstrip("/").rsplit("/", 1)[-1] + "/"
+    inside = one[one.rfind(name) + len(name) :].split("/")[:-1]
+    return [p.split("=", 1)[0] for p in inside if "=" in p]
 
 
 def compact(spark: SparkSession, folder: str, keys: list[str], target: int = TARGET) -> tuple[int, int]:
     """Rewrites the Parquet dataset in ``folder`` into files of about ``target`` bytes, sorted by ``keys``; returns
-    the numbers of files before and after. The new files are written beside the folder, their rows and hashes are
-    reconciled with the old ones, and only then do the folders swap by two renames; the old one is deleted last.
-    On a difference nothing changes and RuntimeError is raised. An empty dataset keeps its schema in one file."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
-    fs = path.getFileSystem(conf)
-    mark = uuid.uuid4().hex[:8]
-    new, old = (jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}-{x}-{mark}") for x in ("new", "old"))
+    the numbers of files before and after. A key of any number of rows is spread over files by a hash of the row; a
+    folder laid out by columns keeps its layout. The new files are written beside the folder, their rows and hashes
+    are reconciled with the old ones, a journal is written, and only then do the folders swap by two renames; the old
+    one is deleted last. What breaks off is finished or undone by ``recover``, which comes first here too. On a
+    difference nothing changes and RuntimeError is raised. An empty dataset keeps its schema in one file."""
+    recover(spark, folder)
+    f = _Folders(spark, folder)
     data = spark.read.parquet(folder)
     before = len(data.inputFiles())
-    files = max(1, -(-fs.getContentSummary(path).getLength() // target))
-    data.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(new.toString())
-    written = spark.read.schema(data.schema).parquet(new.toString())
-    if _fingerprint(written) != _fingerprint(data):
-        fs.delete(new, True)
+    laid = partition_columns(data, folder)
+    files = max(1, -(-f.size() // target))
+    spread = data.repartitionByRange(files, *laid, *keys, _row_hash(data)).sortWithinPartitions(*laid, *keys)
+    spread.write.partitionBy(*laid).parquet(f.new.toString())
+    written = spark.read.schema(data.schema).parquet(f.new.toString())
+    if fingerprint(written) != fingerprint(data):
+        f.fs.delete(f.new, True)
         raise RuntimeError(f"{folder}: the rows written differ from those read")
-    if not (fs.rename(path, old) and fs.rename(new, path)):
-        raise RuntimeError(f"{folder}: could not swap; the rows are in {old} or {new}")
-    fs.delete(old, True)
+    f.begin()
+    f.swap()
+    f.clear()
     return before, len(spark.read.parquet(folder).inputFiles())
+
+
+def consolidated(spark: SparkSession, manifest: DataFrame, folder: str, pieces: int = 64) -> DataFrame:
+    """(path, repo, length, files_before, files_after): the listing of live small files, written in many pieces to
+    ``folder``, then compacted there and read back."""
+    small_files(manifest).repartition(pieces, "path").write.parquet(folder)
+    before, after = compact(spark, folder, ["repo", "path"])
+    return spark.read.parquet(folder).select("*", F.lit(before).alias("files_before"), F.lit(after).alias("files_after"))

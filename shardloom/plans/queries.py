@@ -166,13 +166,23 @@ def norm_actions(s: SparkSession, d: str) -> DataFrame:
     return by.agg(F.count("*").alias("n"))
 
 
+def compacted(s: SparkSession, d: str) -> DataFrame:
+    """The listing of small files after it was written in many files and compacted into few."""
+    out = compaction.consolidated(s, table(s, d, "manifest"), f"{shared_dir(s).rstrip('/')}/compact-{uuid.uuid4().hex[:8]}")
+    return out.select("path", "repo", "length", (F.col("files_after") < F.col("files_before")).alias("fewer"))
+
+
+def plan_totals(s: SparkSession, d: str) -> DataFrame:
+    """What the plan's files hold, by repository."""
+    plan = compaction.consolidation_plan(table(s, d, "manifest"))
+    whole = F.count_if(F.col("offset") < 0) == 0
+    return plan.groupBy("repo").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.count_distinct("path").alias("paths"), whole.alias("placed"))
+
+
 def stream_states(s: SparkSession, d: str) -> DataFrame:
     """The request log as a stream, to its end."""
-    name = f"states_{uuid.uuid4().hex[:8]}"
-    folder = f"{d}/request_map.parquet"
-    log = s.readStream.schema(table(s, d, "request_map").schema).parquet(folder if "*" in folder else f"{d}/request_map*.parquet")
-    state.run_to_end(state.latest_states(log), name, f"{shared_dir(s)}/{name}")
-    return s.table(name)
+    log = s.readStream.schema(table(s, d, "request_map").schema).parquet(f"{d}/request_map*.parquet")
+    return state.run_to_end(state.latest_states(log), f"{shared_dir(s).rstrip('/')}/states-{uuid.uuid4().hex[:8]}")
 
 
 def queries() -> dict[str, Query]:
@@ -182,7 +192,9 @@ def queries() -> dict[str, Query]:
     return {
         "p3_found": lambda s, d: compaction.consolidation_plan(table(s, d, "manifest")).select("path"),
         "p3_plan": lambda s, d: compaction.consolidation_plan(table(s, d, "manifest")),
+        "p3_totals": plan_totals,
         "p3_files": lambda s, d: compaction.consolidated_files(table(s, d, "manifest")),
+        "p3_compacted": compacted,
         "pairs_full_outer": m(scan.media_pairs),
         "media_captioned": m(lambda t: scan.with_sidecar(t, True)),
         "media_uncaptioned": m(lambda t: scan.with_sidecar(t, False)),
@@ -275,6 +287,9 @@ def oracle_sql() -> dict[str, str]:
     plain = "'/' || array_to_string(list_filter(string_split(replace(nfc_normalize(path), '\\', '/'), '/'), lambda s: s <> '' AND s <> '.'), '/')"
     for _ in range(8):
         plain = f"regexp_replace({plain}, '/([^/.][^/]*|\\.[^/.][^/]*|\\.\\.[^/]+)/\\.\\.(/|$)', '\\2')"
+    small = f"""WITH f AS (SELECT {plain} AS path, repo, length, modification_time FROM manifest WHERE path IS NOT NULL),
+            n AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY path ORDER BY modification_time DESC NULLS LAST, length DESC NULLS LAST, repo DESC NULLS LAST) = 1),
+            s AS (SELECT path, repo, length FROM n WHERE length > 0 AND length < 65536 AND NOT regexp_matches(path, '(^|/)\\.') AND NOT regexp_matches(path, '(\\.tmp|\\.part|~)$'))"""
     fps = "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END"
     frames = "(trunc(l_extendedprice)::BIGINT % 400)"
     over = f"(({frames} - 1) % 8)"
@@ -289,9 +304,9 @@ def oracle_sql() -> dict[str, str]:
     sanitised = "trim(left(trim(regexp_replace(regexp_replace(lower(trim(folder)), '[^a-zA-Z0-9._-]+', '-', 'g'), '-{2,}', '-', 'g'), '-.'), 96), '-.')"
     byte_order = "used + n.size > 268435456"
     return {
-        "p3_found": f"""WITH f AS (SELECT {plain} AS path, length, modification_time FROM manifest WHERE path IS NOT NULL),
-            n AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY path ORDER BY modification_time DESC NULLS LAST, length DESC NULLS LAST) = 1)
-            SELECT path FROM n WHERE length > 0 AND length < 65536 AND NOT regexp_matches(path, '(^|/)\\.') AND NOT regexp_matches(path, '(\\.tmp|\\.part|~)$')""",
+        "p3_found": f"{small} SELECT path FROM s",
+        "p3_compacted": f"{small} SELECT path, repo, length, true AS fewer FROM s",
+        "p3_totals": f"{small} SELECT repo, count(*) AS files, sum(length)::BIGINT AS bytes, count(DISTINCT path) AS paths, true AS placed FROM s GROUP BY repo",
         "pairs_full_outer": f"""WITH {_FILES}, s AS (SELECT stem, count(*) FILTER (kind IN ('image', 'video')) AS media, count(*) FILTER (kind = 'text') AS texts FROM files WHERE kind <> 'other' GROUP BY stem)
             SELECT stem, media, texts, CASE WHEN media = 0 THEN 'text_only' WHEN texts = 0 THEN 'media_only' ELSE 'paired' END AS state FROM s""",
         "media_captioned": f"WITH {_FILES} SELECT path FROM files f WHERE kind = 'image' AND EXISTS (SELECT 1 FROM files t WHERE t.kind = 'text' AND t.stem = f.stem)",
@@ -345,6 +360,7 @@ def oracle_sql() -> dict[str, str]:
         "request_ids": """SELECT DISTINCT repo, rel, 'req_' || sha1(CASE WHEN starts_with(rel, '..') THEN repo || '/' || rel ELSE rel END) AS request_id, '.batch_state_run_' || substr(md5(rel), 1, 10) || '.json' AS state_file,
             regexp_replace(regexp_extract(rel, '[^/]*$'), '^(\\.*[^.].*?)\\.[^.]*$', '\\1') || '_' || substr(md5(rel), 1, 10) || '_f12.jpg' AS frame_file FROM packing_input""",
         "state_latest": f"WITH {_LATEST} SELECT request_id, state, attempt, updated_at FROM latest",
+        "stream_state": f"WITH {_LATEST} SELECT request_id, state, updated_at FROM latest",
         "state_counters": f"""WITH {_LATEST}, c AS (SELECT batch_id, count(*) AS total, count(*) FILTER (state = 'succeeded') AS succeeded, count(*) FILTER (starts_with(state, 'failed')) AS failed FROM latest GROUP BY 1)
             SELECT *, total - succeeded - failed AS pending, (succeeded + failed) * 100 / total AS percent FROM c""",
         "attempt_mint": """WITH a AS (SELECT regexp_replace(request_id, '_a\\d+$', '') AS base_id, max(attempt) AS attempt, bool_or(state IN ('submitted', 'succeeded')) AS sent FROM request_map GROUP BY 1)

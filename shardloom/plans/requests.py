@@ -221,7 +221,7 @@ def oracle_sql() -> dict[str, str]:
             d AS (SELECT user_id, count(*) AS polls, bool_or(total > 0 AND pending = 0) AS done FROM p GROUP BY 1)
             SELECT user_id, polls, CASE WHEN done THEN 'done' WHEN streak >= 2 THEN 'empty' ELSE 'open' END AS outcome FROM d JOIN s USING (user_id)""",
         "second_pass": """WITH c AS (SELECT request_id, max(caption) AS now, max(prompt) AS old FROM caption GROUP BY 1)
-            SELECT request_id FROM (SELECT DISTINCT request_id FROM request_map) LEFT JOIN c USING (request_id) WHERE coalesce(trim(now), '') = '' OR now IS NOT DISTINCT FROM old""",
+            SELECT request_id FROM (SELECT DISTINCT request_id FROM request_map) LEFT JOIN c USING (request_id) WHERE regexp_full_match(coalesce(now, ''), '[\\s\\p{Z}]*') OR now IS NOT DISTINCT FROM old""",
         "newest_states": """SELECT provider, (arg_max(batch_id, struct_pack(a := created_at, b := batch_id)) FILTER (batch_id IN (SELECT batch_id FROM request_map))) AS batch_id FROM batch_state GROUP BY 1""",
         "log_merge": "SELECT concat_ws('/', repo, item) AS path, string_agg(DISTINCT tagger, ',' ORDER BY tagger) AS taggers, max(rtrim(rtrim(strftime(tagged_at, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')) AS processed_at FROM item_tags GROUP BY 1",
         "candidate_texts": """SELECT caption_id, CASE WHEN batch_id IN (SELECT batch_id FROM batch_state) THEN coalesce(nullif(caption, ''), nullif(array_to_string(list_filter(tags_used, lambda t: t IS NOT NULL), ''), '')) END AS text FROM caption""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
 
 
 def arriving(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -24,8 +24,17 @@ def hourly_states(log: DataFrame, lateness: str = "2 hours") -> DataFrame:
     return at.groupBy(F.window("at", "1 hour").alias("w"), "state").agg(F.count("*").alias("n")).select(F.col("w.start").alias("hour"), "state", "n")
 
 
-def run_to_end(df: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
-    """Runs over what is there, into the in-memory table ``name``."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_end(df: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
+    """Runs over what is there and gives the result of the last trigger, which the executors write to ``folder``, shared
+    by all of them; the state stays in their stores, and no row comes to the driver. ``complete`` and ``update`` results
+    are those of one trigger: with ``update`` start from a folder that was not run before."""
+
+    def keep(result: DataFrame, number: int) -> None:
+        # A repeated trigger has the same number and replaces what it left.
+        result.write.mode("overwrite").parquet(f"{folder}/result/trigger={number}")
+
+    q = df.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return q
+    every = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("trigger", T.LongType())])).parquet(f"{folder}/result")
+    last = every.agg(F.max("trigger")).first()[0]
+    return every.where(F.col("trigger") == last).drop("trigger")

@@ -203,6 +203,46 @@ def test_compact(spark, tmp_path):
     assert not [f for f in os.listdir(tmp_path) if f.startswith(".")]
 
 
+def test_compact_keeps_layout_and_splits_a_hot_key(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rows = [("hot" if i % 4 else f"k{i}", i % 2, {"a": str(i), "b": None}, [{"x": {i: i}}]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, p int, m map<string,string>, n array<struct<x: map<int,int>>>")
+    df.repartition(8).write.partitionBy("p").parquet(folder)
+    size = sum(os.path.getsize(os.path.join(at, f)) for at, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+    before, after = compaction.compact(spark, folder, ["k"], size // 4)
+    again = spark.read.parquet(folder)
+    assert before == 16 and 4 <= after <= 12 and sorted(os.listdir(folder))[-2:] == ["p=0", "p=1"]
+    assert again.count() == 4000 and again.where("k = 'hot'").select(F.input_file_name()).distinct().count() > 2
+    assert compaction.fingerprint(again) == compaction.fingerprint(df)
+
+
+def test_fingerprint_sees_maps_and_nulls(spark):
+    kind = "a string, m map<string,string>, s struct<m: map<string,string>>"
+    base = [("x", {"k": "v", "l": "w"}, ({"k": "1"},)), (None, None, None)]
+    sums = [compaction.fingerprint(spark.createDataFrame(rows, kind)) for rows in (
+        base, [("x", {"l": "w", "k": "v"}, ({"k": "1"},)), base[1]], [("x", {"k": "v", "l": "u"}, ({"k": "1"},)), base[1]], [("x", {"k": "v", "l": "w"}, ({"k": "2"},)), base[1]], [base[0], (None, {}, None)], [*base, base[0]], [])]
+    assert sums[0] == sums[1] and len(set(sums)) == 6
+    assert compaction.fingerprint(spark.range(3).select()) == (3, 0)
+
+
+@pytest.mark.parametrize("step, outcome", [("written", "undone"), ("begun", "undone"), ("moved", "finished"), ("swapped", "finished")])
+def test_a_swap_that_broke_off_is_recovered(spark, tmp_path, step, outcome):
+    folder = str(tmp_path / "t")
+    df = spark.createDataFrame([(i,) for i in range(10)], "k int")
+    df.repartition(5).write.parquet(folder)
+    f = compaction._Folders(spark, folder)
+    df.coalesce(1).write.parquet(f.new.toString())
+    if step != "written":
+        f.begin()
+    if step in ("moved", "swapped"):
+        os.rename(folder, str(tmp_path / ".t-old"))
+    if step == "swapped":
+        os.rename(str(tmp_path / ".t-new"), folder)
+    assert compaction.recover(spark, folder) == outcome and compaction.recover(spark, folder) == "none"
+    assert spark.read.parquet(folder).count() == 10 and os.listdir(tmp_path) == ["t"]
+    assert compaction.compact(spark, folder, ["k"])[1] == 1
+
+
 def test_scan(spark):
     m = spark.createDataFrame([(p,) for p in ("/a/x.PNG", "/a/x.jpg", "/a/x.txt", "/a/y.mp4", "/b/x.jpg", "/b/n.txt", None, "/a/x.txt", "/b/x_2.jpg", "/c/x.jpg")], "path string")
     pairs = {r["stem"]: (r["media"], r["texts"], r["state"]) for r in scan.media_pairs(m).collect()}
