@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,14 +9,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
+from shardloom.llm.hotjoin import LOCAL, join_many
 from shardloom.llm.textnorm import canonical_words
 from shardloom.session import cut_lineage
 
 SHINGLE = 5
-#: So many different shingles of the items, 8 bytes each, and their windows go to every worker; more are joined by a shuffle.
-LOCAL_SHINGLES = 500_000
+#: Bits of the filter of the items' shingles that goes to every worker, whatever their number; full, it only filters less.
+FILTER_BITS = 1 << 26
 
 
 def shingles(ws: list[str]) -> list[int]:
@@ -46,118 +45,82 @@ def item_windows(items: DataFrame, length: int, item_id: str, text: str) -> Data
     return items.select(item_id, text).mapInArrow(cut, f"item {kind}, at int, window string, shingles array<bigint>")
 
 
-def _words_of(docs: DataFrame, wanted) -> DataFrame:
-    """(doc, words) of the documents that hold one of the shingles ``wanted`` (None: of all)."""
+def _candidates(docs: DataFrame, windows: DataFrame, need: int) -> DataFrame:
+    """(doc, key, words, at, chars, shingles) of the documents in which ``need`` consecutive shingles stand in windows: their
+    words with a space between, and the places, in words and in characters, and hashes of such shingles. Windows are
+    known by a bit filter of FILTER_BITS, which lets a few others pass."""
+    word = F.expr(f"(s >> 1) & {FILTER_BITS - 1}")
+    bits = windows.select(F.explode("shingles").alias("s")).groupBy(F.shiftright(word, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast((s >> 1) & 63 as int))")).alias("b")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[bits["w"].to_numpy()] = bits["b"].to_numpy()
+    known = docs.sparkSession.sparkContext.broadcast(table)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = wanted.value if wanted else None
+        flags = known.value
         for batch in batches:
-            rows, texts = [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
+            rows, texts, places, chars, hashes = [], [], [], [], []
+            for i, t in enumerate(batch.column(2).to_pylist()):
                 ws = canonical_words(t)
-                if len(ws) >= SHINGLE and (some is None or not some.isdisjoint(shingles(ws))):
+                if len(ws) < need + SHINGLE - 1:
+                    continue
+                grams = np.array(shingles(ws), np.int64)
+                low = (grams >> 1) & (FILTER_BITS - 1)
+                held = np.concatenate([[0], np.cumsum((flags[low >> 6] >> (low & 63)) & 1)])
+                begin = np.flatnonzero(held[need:] - held[:-need] == need)
+                if len(begin):
+                    inside = np.zeros(len(grams) + 1, np.int64)
+                    np.add.at(inside, begin, 1)
+                    np.add.at(inside, begin + need, -1)
+                    at = np.flatnonzero(np.cumsum(inside)[:-1] > 0)
                     rows.append(i)
-                    texts.append(ws)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), pa.array(texts, pa.list_(pa.string()))], ["doc", "words"])
+                    texts.append(" ".join(ws))
+                    places.append(at.astype(np.int32))
+                    chars.append(np.cumsum([0, *(len(w) + 1 for w in ws)], dtype=np.int32)[at])
+                    hashes.append(grams[at])
+            at = pa.array(rows, pa.int32())
+            lists = [pa.array(x, pa.list_(kind)) for x, kind in ((places, pa.int32()), (chars, pa.int32()), (hashes, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(texts, pa.string()), *lists], ["doc", "key", "words", "at", "chars", "shingles"])
 
     kind = docs.schema["doc"].dataType.simpleString()
-    return docs.mapInArrow(read, f"doc {kind}, words array<string>")
-
-
-def _frequencies(found: DataFrame, wanted) -> DataFrame:
-    """(shingle, docs): in how many documents each shingle stands, of those ``wanted`` (None: all)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = wanted.value if wanted else None
-        for batch in batches:
-            n: Counter[int] = Counter()
-            for ws in batch.column(0).to_pylist():
-                own = set(shingles(ws))
-                n.update(own if some is None else own & some)
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())], ["shingle", "docs"])
+    keyed = docs.select("doc", F.xxhash64("doc", "txt").alias("key"), "txt")
+    return keyed.mapInArrow(read, f"doc {kind}, key bigint, words string, at array<int>, chars array<int>, shingles array<bigint>")
 
-    return found.select("words").mapInArrow(count, "shingle bigint, docs bigint").groupBy("shingle").agg(F.sum("docs").alias("docs"))
 
-
-def leaks(docs: DataFrame, items: DataFrame, length: int = 12, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", local: int = LOCAL_SHINGLES) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, length: int = 12, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", local: int = LOCAL) -> DataFrame:
     """(doc_id, item_id, windows): the documents that hold ``length`` consecutive words of an item or more, and how
     many of the item's windows each holds. Words are canonical_words. Null, empty and shorter texts leak nothing;
     of repeated rows one row comes out.
 
-    Each window of an item is a set of shingles of which a document must hold all, so its prefix is one shingle:
-    the rarest of the window over all documents. Documents are joined on prefixes; a pair is kept if the window's
-    place lies within the document and all of its words stand there in order."""
+    Each different window of the items is a set of shingles of which a document must hold all, so its prefix is one
+    shingle: the rarest of the window over the documents that hold so many in a row. Places of these shingles in
+    documents are joined with prefixes; the window must lie within the document, and all of its words must stand
+    there in order (compared by hash in place, then by text). Up to ``local`` windows are broadcast, more are joined by
+    a salted shuffle."""
+    need = length - SHINGLE + 1
     docs = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("txt"))
-    parts = cut_lineage(item_windows(items, length, item_id, text))
-    every = parts.select(F.explode("shingles").alias("shingle")).distinct()
-    wanted = None
-    if every.count() <= local:
-        wanted = docs.sparkSession.sparkContext.broadcast({r[0] for r in every.collect()})
-    found = cut_lineage(_words_of(docs, wanted))
-    counts = _frequencies(found, wanted).join(F.broadcast(every) if wanted else every, "shingle")
-    at = parts.select("item", "at", "window", F.posexplode("shingles").alias("offset", "shingle"))
-    # A window one of whose shingles no document holds can't stand in a document: the inner join drops that shingle's rows, the count the window.
+    parts = cut_lineage(item_windows(items, length, item_id, text).dropDuplicates(["item", "at", "window"]))
+    windows = cut_lineage(parts.groupBy("window").agg(F.first("shingles").alias("shingles")))
+    found = cut_lineage(_candidates(docs, windows, need).dropDuplicates(["doc", "key"]))
+    counts = found.select(F.explode(F.array_distinct("shingles")).alias("shingle")).groupBy("shingle").agg(F.count("*").alias("docs"))
+    places = windows.select("window", F.posexplode("shingles").alias("offset", "shingle"))
+    # A window one of whose shingles no document holds can't stand in one: the inner join drops that shingle's rows, the count the window.
     rare = F.min(F.struct("docs", "shingle", "offset"))
-    need = length - SHINGLE + 1
-    prefixes = at.join(counts, "shingle").groupBy("item", "at", "window").agg(rare.alias("r"), F.count("*").alias("held")).where(F.col("held") == need)
-    prefixes = prefixes.select("item", "at", "window", F.col("r.offset").alias("offset"), F.col("r.shingle").alias("shingle"))
-    pairs = _verified_here(found, prefixes, length) if wanted else _verified_by_join(found, prefixes, length)
+    whole = places.join(counts, "shingle").groupBy("window").agg(rare.alias("r"), F.count("*").alias("held")).where(F.col("held") == need)
+    known = [F.xxhash64("window").alias("hash"), F.length("window").alias("size")]
+    prefixes = cut_lineage(whole.select(*known, F.col("r.offset").alias("offset"), F.col("r.shingle").alias("shingle")))
+    held = found.select("doc", "key", "at", F.explode(F.arrays_zip("at", "shingles")).alias("p")).select("doc", "key", F.col("p.at").alias("pos"), F.col("p.shingles").alias("shingle"))
+    met = join_many(held, prefixes, "shingle", "key", local)
+    placed = met.select(F.col("doc").alias("of"), F.col("key").alias("in"), (F.col("pos") - F.col("offset")).alias("start"), "hash", "size").where("start >= 0")
+    # Only places and hashes were shuffled. Where the window would start in the document, its words must stand.
+    same = F.col("key").eqNullSafe(F.col("in")) & F.col("doc").eqNullSafe(F.col("of"))
+    begin = F.element_at("chars", F.nullif(F.array_position("at", F.col("start")), F.lit(0)).cast("int"))
+    words = found.select("doc", "key", "words", "at", "chars").join(placed, same).select("doc", "words", "hash", "size", begin.alias("begin"))
+    here = words.select("doc", "hash", F.substring("words", F.col("begin") + 1, F.col("size")).alias("window"), F.substring("words", F.col("begin") + F.col("size") + 1, F.lit(1)).alias("next"))
+    matched = here.where((F.xxhash64("window") == F.col("hash")) & F.col("next").isin("", " ")).select("doc", "window")
+    pairs = join_many(matched, parts.select("item", "at", "window"), "window", "doc", local)
     return pairs.groupBy("doc", "item").agg(F.count_distinct("at").alias("windows")).select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "windows")
 
 
-def _verified_here(found: DataFrame, prefixes: DataFrame, length: int) -> DataFrame:
-    """(doc, item, at), the prefixes being few enough to be held by each worker."""
-    index = defaultdict(list)
-    for r in prefixes.collect():
-        index[r["shingle"]].append((r["item"], r["at"], r["offset"], r["window"].split(" ")))
-    known = found.sparkSession.sparkContext.broadcast(dict(index))
-    item_kind = prefixes.schema["item"].dataType.simpleString()
-    item_type = to_arrow_type(prefixes.schema["item"].dataType)
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = known.value
-        for batch in batches:
-            rows, item, at = [], [], []
-            for i, ws in enumerate(batch.column(1).to_pylist()):
-                hit = set()
-                for pos, s in enumerate(shingles(ws)):
-                    for it, k, offset, window in by.get(s, ()):
-                        start = pos - offset
-                        if 0 <= start <= len(ws) - length and ws[start : start + length] == window:
-                            hit.add((it, k))
-                for it, k in sorted(hit):
-                    rows.append(i)
-                    item.append(it)
-                    at.append(k)
-            out = [batch.column(0).take(pa.array(rows, pa.int32())), pa.array(item, item_type), pa.array(at, pa.int32())]
-            yield pa.RecordBatch.from_arrays(out, ["doc", "item", "at"])
-
-    kind = found.schema["doc"].dataType.simpleString()
-    return found.mapInArrow(verify, f"doc {kind}, item {item_kind}, at int")
-
-
-def _verified_by_join(found: DataFrame, prefixes: DataFrame, length: int) -> DataFrame:
-    """(doc, item, at) by a shuffle: each shingle of a document travels with the words around it that a window may cover."""
-    reach = length - SHINGLE
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, ws in enumerate(batch.column(1).to_pylist()):
-                grams = shingles(ws)
-                n = len(grams)
-                around = [ws[max(0, p - reach) : p + length] for p in range(n)]
-                before = np.minimum(np.arange(n), reach).astype(np.int32)
-                rows = pa.array(np.full(n, i, np.int32))
-                out = [batch.column(0).take(rows), pa.array(grams, pa.int64()), pa.array(before), pa.array(around, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(out, ["doc", "shingle", "before", "around"])
-
-    kind = found.schema["doc"].dataType.simpleString()
-    placed = found.mapInArrow(spread, f"doc {kind}, shingle bigint, before int, around array<string>")
-    start = F.col("before") - F.col("offset")
-    here = F.when(start >= 0, F.array_join(F.slice("around", F.greatest(start, F.lit(0)) + 1, F.lit(length)), " "))
-    return placed.join(prefixes, "shingle").where(here == F.col("window")).select("doc", "item", "at")
-
-
 def leaked_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """(item_id, documents, windows) of each item that leaks."""
     item_id = options.get("item_id", "item_id")

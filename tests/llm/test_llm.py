@@ -2,6 +2,7 @@ import itertools
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,7 +45,14 @@ def test_terms(spark, items):
     want = Counter(t for tags in held.values() for t in tags)
     got = {r["tag"]: (r["items"], r["n"]) for r in termstats.term_counts(spark.createDataFrame(items, TAGS)).collect()}
     assert got == {t: (c, len(held)) for t, c in want.items()}
+    for hot in (0, 3):
+        assert {r["tag"]: (r["items"], r["n"]) for r in termstats.term_counts(spark.createDataFrame(items, TAGS), hot=hot).collect()} == got
     assert termstats.term_counts(spark.createDataFrame([], TAGS)).count() == 0
+    df = spark.createDataFrame(items, TAGS)
+    for r in termstats.bitmaps(df, termstats.spellings(df)).collect():
+        assert len(set(termstats.places(r["bits"]))) == r["items"]
+    for n in (0, 5, termstats.DENSE - 1, termstats.DENSE, termstats.RECORDS):
+        assert termstats.places(termstats.container(np.arange(n))).tolist() == list(range(n))
 
 
 def test_repetition(spark):
@@ -62,9 +70,31 @@ def test_repetition(spark):
         return len(w), len(hit)
 
     df = spark.createDataFrame(list(enumerate(texts)), "caption_id bigint, caption string")
-    assert {r["caption_id"]: (r["words"], r["repeated"]) for r in repetition.repetition(df).collect()} == {i: share(t) for i, t in enumerate(texts)}
+    assert {r["caption_id"]: (r["words"], r["repeated"]) for r in repetition.repetition(df, df.limit(0), trusted_text="caption").collect()} == {i: share(t) for i, t in enumerate(texts)}
     want = {i for i, t in enumerate(texts) if share(t)[0] >= 12 and share(t)[1] * 10 >= 4 * share(t)[0]}
-    assert {r[0] for r in repetition.repetitive(df).collect()} == want and want
+    # No case is lost whatever is trusted: nothing, what has no repeats, what has some, the corpus itself.
+    said = ["", *(" ".join(rnd.sample("abcdefghijklmnop", 14)) for _ in range(9)), "a b c d e a b c d e f g"]
+    for trusted in ([None], said[:10], said, texts):
+        good = spark.createDataFrame([(t,) for t in trusted], "text string")
+        assert {r[0] for r in repetition.repetitive(df, good).collect()} == want and want
+    few = repetition.repetition(df, spark.createDataFrame([(t,) for t in said[:10]], "text string"), every=False).collect()
+    assert want <= {r["caption_id"] for r in few if r["suspect"]} < {i for i, t in enumerate(texts) if share(t)[1]}
+    assert all((r["repeated"] is not None) == r["suspect"] for r in few)
+
+
+def test_common_subsequences():
+    def slow(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            left = 0
+            for j, y in enumerate(b, 1):
+                left, row[j] = row[j], (left + 1 if x == y else max(row[j], row[j - 1]))
+        return row[-1]
+
+    rnd = random.Random(1)
+    for _ in range(2000):
+        a, b = (rnd.choices("abcde", k=rnd.randrange(12)) for _ in range(2))
+        assert pairs.lcs(a, b) == slow(a, b)
 
 
 def test_packing(spark):
@@ -103,9 +133,12 @@ def test_leaks(spark):
     words = item.split()
     texts = [None, "", item.upper(), "x " + " ".join(words[3:15]) + " y", "x " + " ".join(words[3:14]) + " y", item.replace("violet", "vio-\nlet").replace(" ", "  "), "".join(f"**{w}** " for w in words), item.replace("o", "ö").encode().decode("latin1"), item.replace("a", "\\u0061")]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    items = spark.createDataFrame([(7, item), (8, "too short"), (9, None)], "item_id bigint, text string")
+    items = spark.createDataFrame([(7, item), (8, "too short"), (9, None), (7, item), (10, item.upper() + " End."), (None, item)], "item_id bigint, text string")
+    # Repeated rows, one id with two texts, and a null id.
+    df = df.union(df).union(spark.createDataFrame([(2, "other"), (None, item)], df.schema))
     for local in (0, 10_000):
-        assert {(r["doc_id"], r["item_id"]) for r in leakage.leaks(df, items, local=local).collect()} == {(i, 7) for i in (2, 3, 5, 6, 7, 8)}
+        got = [(r["doc_id"], r["item_id"]) for r in leakage.leaks(df, items, local=local).collect()]
+        assert set(got) == {(i, k) for i in (2, 3, 5, 6, 7, 8, None) for k in (7, 10, None)} and len(got) == 21
     assert leakage.leaks(df.limit(0), items).count() == 0
     assert textnorm.canonical_words("ｆｕｌｌ　ｗｉｄｔｈ &eacute; é a​b") == ["full", "width", "e", "e", "ab"]
 
@@ -128,6 +161,23 @@ def test_truncation_and_defects(spark):
     assert found == {1000: "refusal", 1001: "empty", 1002: "empty", 1003: "empty", 1004: "empty", 1005: "truncated", 1006: "truncated", 1007: "truncated", 1008: "refusal", 1009: "echo"}
 
 
+def test_thresholds_are_fitted_for_any_field(spark):
+    """From held-out cuts and complete values, for fields and languages of any name."""
+    rnd = random.Random(9)
+    words = ["".join(rnd.choices("abcdefghijklmnop", k=5)) for _ in range(40)]
+    say = lambda: " ".join([*rnd.choices(words[:30], k=8), rnd.choice(words[30:])])
+    rows = [("note", i, None if i % 2 else "xx", f"{say()}. {say()}.") for i in range(800)] + [("note", 9000 + i, "xx", f"{say()}. {say()[:-9]}") for i in range(20)] + [("note", 9900, "xx", None)]
+    df = spark.createDataFrame(rows, "field string, row_id bigint, lang string, text string")
+    scores = truncation.truncation_scores(df).collect()
+    assert len(scores) == 820 and {r["row_id"] for r in scores if r["cut"]} == set(range(9000, 9020))
+    assert len({r["threshold"] for r in scores}) <= 2 and truncation.truncation_scores(df.limit(0)).count() == 0
+    n = np.zeros(100)
+    n[10], m = 1000, np.zeros(100)
+    m[50] = 1000
+    assert 29 < truncation.expected_threshold(n, m) < 32 and truncation.expected_threshold(n * 0, m * 0) == 50
+    assert truncation.expected_threshold(m, n) < 11 and 29 < truncation.expected_threshold(m, n, False) < 32
+
+
 def test_context_lengths():
     assert [v[2] for v in truncation.views("a boat", "caption", True)] == [(3, 5, 8, 12, 20, 32, 48)]
     assert [v[2] for v in truncation.views("no boat", "error_message", False)] == [(3, 5, 8, 12, 20)] * 2
@@ -141,7 +191,7 @@ def test_every_language_has_a_model(spark):
     rows = [(name, say(k)) for k, name in enumerate(names) for _ in range(40 if k < 17 else 20)]
     found, models = pairs.language_models(spark.createDataFrame(rows, "lang string, response string"))
     assert found == names
-    assert pairs.foreign_share(say(19), names[19], found, models) == 0 and pairs.foreign_share(say(2), names[19], found, models) > 0.5
+    assert pairs.foreign_shares([say(19)], [names[19]], found, models)[0] == 0 and pairs.foreign_shares([say(2)], [names[19]], found, models)[0] > 0.5
 
 
 def test_a_loop_hides_no_other_language(spark):
@@ -150,8 +200,8 @@ def test_a_loop_hides_no_other_language(spark):
     say = lambda k: " ".join(rnd.sample(words[k], 12)) + "."
     names, models = pairs.language_models(spark.createDataFrame([("xy"[k] * 2, say(k)) for k in (0, 1) for _ in range(300)], "lang string, response string"))
     loop = " ".join([words[0][0]] * 200) + ". "
-    assert pairs.foreign_share(loop + say(1), "xx", names, models) > 0.5
-    assert pairs.foreign_share(loop + say(0), "xx", names, models) == 0 and pairs.foreign_share(" ", "xx", names, models) == 0
+    assert pairs.foreign_shares([loop + say(1)], ["xx"], names, models)[0] > 0.5
+    assert pairs.foreign_shares([loop + say(0)], ["xx"], names, models)[0] == 0 and pairs.foreign_shares([" "], ["xx"], names, models)[0] == 0
 
 
 def test_defect_rules():
