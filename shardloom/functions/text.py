@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 _VAR = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
 _PAIR_NAME = r"[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+"
 
-#: What stands in a prompt where a value is missing.
+# What stands in a prompt where a value is missing.
 NO_PRIOR_TAGS, NO_TAGS, NO_DESCRIPTION, NOT_AVAILABLE, NONE = "(no prior tags)", "(no tags)", "(no description)", "(not available)", "(none)"
 
 
