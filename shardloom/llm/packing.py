@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import bisect
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.functions.paths import plain_path
+from shardloom.operators.ordered import with_group
+from shardloom.session import cut_lineage
 
 CAPACITY = 268_435_456
 #: A repository's entries are spread over blocks of about so many, each packed by one task.
@@ -92,9 +95,9 @@ def pack(df: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFra
 
     Shards are packed per repository, a large repository in blocks drawn by a hash of the path, which cost at
     most one part-filled shard each. Shard names are ``<repo>-<block>-<number>`` and the same at every run."""
-    e = entries(df).withColumn("hash", F.xxhash64("rel"))
-    blocks = e.groupBy(F.col("repo").alias("of")).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    spread = e.join(blocks, F.col("repo").eqNullSafe(F.col("of"))).select("repo", "rel", "size", F.pmod("hash", "blocks").cast("int").alias("block"))
+    e = cut_lineage(entries(df)).withColumn("hash", F.xxhash64("rel"))
+    blocks = e.groupBy("repo").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    spread = with_group(e, blocks, "repo").select("repo", "rel", "size", F.pmod("hash", "blocks").cast("int").alias("block"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "rel"], kind="stable").reset_index(drop=True)
@@ -145,5 +148,3 @@ def shard_fill(df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(repo, shards, bytes, fill) per repository: the share of its shards' room that is used."""
     p = pack(df, capacity).where("shard is not null")
     return p.groupBy("repo").agg(F.count_distinct("shard").alias("shards"), F.sum("part_size").alias("bytes")).withColumn("fill", F.col("bytes") / (F.col("shards") * F.lit(capacity)))
-
-
