@@ -38,8 +38,6 @@ SCORES, STEP, NEAR = 14.0, 0.25, 6
 MISSED, FALSE = 0.005, 0.02
 #: A language with fewer held-out cuts or complete values is expected to have the threshold of its whole field.
 LEAST_SAMPLES = 500
-#: So many complete values of each field and language, about, are cut once to fit its threshold: those of the least hashes.
-HELD_OUT = 5_000
 #: Shorter ones are not cut.
 LEAST_CUT = 24
 
@@ -172,18 +170,14 @@ def _grouped(fields: list[str], forms: list[str], texts: list[str], final: bool)
         yield orders, at, _Chunk(bodies, seeds)
 
 
-def final_contexts(chunk: _Chunk, orders: tuple[int, ...]) -> list[list[tuple[int, bool]]]:
-    """Of each text the hash of each order's context at its end, and whether it is the whole text: a text shorter
-    than an order has, at the first such order, its beginning-to-end as context, and none beyond."""
-    n, begin = chunk.lengths, chunk.starts
-    end, out, shorter = begin + n, [[] for _ in n], np.zeros(len(n), bool)
-    for order in orders:
-        fits = n >= order
-        at = chunk.hashes(np.where(fits, end - order, begin), end, chunk.seeds ^ np.where(fits, 0, 64))
-        for i in np.flatnonzero(~shorter):
-            out[i].append((int(at[i]), not fits[i]))
-        shorter |= ~fits
-    return out
+def final_contexts(chunk: _Chunk, orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many contexts each text has at its end, and of them all, text by text, the hash, and whether it is the whole
+    text: a text shorter than an order has, at the first such order, its beginning-to-end as context, and none beyond."""
+    n, end = chunk.lengths[:, None], (chunk.starts + chunk.lengths)[:, None]
+    fits = n >= np.array(orders)
+    at = chunk.hashes(end - np.where(fits, orders, n), end, chunk.seeds[:, None] ^ np.where(fits, 0, 64))
+    has = np.cumsum(~fits, axis=1) <= 1
+    return has.sum(axis=1), at[has], ~fits[has]
 
 
 _STOPS = re.compile("[\"'”’»」』)\\]]*[.!?。！？…](?=[ .\"'”’»」』)\\]…\x02⺀-\U0010ffff]|$)|[\"'”’»」』)\\]]*[。！？]")
@@ -254,43 +248,42 @@ def cut_of(text: str, paths: bool) -> tuple[str, float] | None:
 
 def _tails(values: DataFrame) -> DataFrame:
     """(field, row_id, lang, prior, extra, held, contexts, tail): the end of each value, and with ``held`` the end of the held-out
-    cut of some. A context comes with whether the value itself is among its stops (1) or its continuations (-1); tail
-    identifies all of what the score is made of."""
-    counts = values.groupBy("field", "lang").agg(F.count("*").alias("n")).collect()
-    rate = {(r["field"], r["lang"]): HELD_OUT / r["n"] for r in counts}
+    cut of each complete one. A context comes with whether the value itself is among its stops (1) or its continuations (-1);
+    tail identifies all of what the score is made of."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fields, langs, texts = (batch.column(i).to_pylist() for i in (0, 2, 3))
-            contexts, extra, prior, rows, held = [], [], [], [], []
+            fields, texts = batch.column(0).to_pylist(), batch.column(3).to_pylist()
             for part in chunks(texts):
-                forms = [form_of(t) for t in texts[part]]
-                ends = [ending(t, form, f == "error_message") for t, form, f in zip(texts[part], forms, fields[part])]
+                own, forms = fields[part], [form_of(t) for t in texts[part]]
+                ends = [ending(t, form, f == "error_message") for t, form, f in zip(texts[part], forms, own)]
                 places = list(range(part.start, part.start + len(ends)))
-                cut = [False] * len(ends)
-                for i, (form, t, f) in enumerate(zip(forms[:], texts[part], fields[part])):
-                    if form == "prose" and ends[i][1] == STOP and zlib.crc32(t.encode("utf-8", "surrogatepass")) < rate[f, langs[places[i]]] * (1 << 32):
-                        if made := cut_of(t, f == "error_message"):
-                            ends.append((*made, False))
-                            forms.append(form)
-                            places.append(places[i])
-                            cut.append(True)
-                of = [fields[k] for k in places]
-                found: list[list[dict]] = [[] for _ in ends]
-                for orders, at, chunk in _grouped(of, forms, [e[0] for e in ends], True):
-                    for i, own in zip(at, final_contexts(chunk, orders)):
-                        # A stop is counted where it stands, the end of a message, of JSON and of a context that is the whole text too.
-                        counted = of[i] == "error_message" or forms[i] == "json" or ends[i][2] or forms[i] == "prose" and ends[i][1] == STOP
-                        found[i] += [{"context": h, "own": -1 if cut[i] else int(counted or whole)} for h, whole in own]
-                contexts += found
-                extra += [e[1] for e in ends]
-                prior += [UNKNOWN if form == "prose" and len(texts[k]) > SHORT else UNKNOWN_PARTS for form, k in zip(forms, places)]
-                rows += places
-                held += cut
-            kind = pa.list_(pa.struct([("context", pa.int64()), ("own", pa.int32())]))
-            at = pa.array(rows, pa.int32())
-            out = [*(batch.column(i).take(at) for i in range(3)), pa.array(prior, pa.float64()), pa.array(extra, pa.float64()), pa.array(held, pa.bool_()), pa.array(contexts, kind)]
-            yield pa.RecordBatch.from_arrays(out, ["field", "row_id", "lang", "prior", "extra", "held", "contexts"])
+                for k, t, form, f, end in list(zip(places, texts[part], forms, own, ends)):
+                    if form == "prose" and end[1] == STOP and (made := cut_of(t, f == "error_message")):
+                        ends.append((*made, False))
+                        forms.append(form)
+                        own.append(f)
+                        places.append(k)
+                held = np.arange(len(ends)) >= part.stop - part.start
+                # A stop is counted where it stands, the end of a message, of JSON and of a context that is the whole text too.
+                counted = np.array([f == "error_message" or form == "json" or dots or form == "prose" and extra == STOP for f, form, (_, extra, dots) in zip(own, forms, ends)], bool)
+                owner, hashes, marks = [], [], []
+                for orders, at, chunk in _grouped(own, forms, [e[0] for e in ends], True):
+                    sizes, h, whole = final_contexts(chunk, orders)
+                    of = np.repeat(np.array(at), sizes)
+                    owner.append(of)
+                    hashes.append(h)
+                    marks.append(np.where(held[of], -1, counted[of] | whole))
+                # Each value has one view here, so that its contexts stay in order.
+                of = np.concatenate(owner)
+                order = np.argsort(of, kind="stable")
+                offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.bincount(of, minlength=len(ends)))])
+                each = pa.StructArray.from_arrays([pa.array(np.concatenate(hashes)[order], pa.int64()), pa.array(np.concatenate(marks)[order], pa.int32())], ["context", "own"])
+                contexts = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), each)
+                prior = [UNKNOWN if form == "prose" and len(texts[k]) > SHORT else UNKNOWN_PARTS for form, k in zip(forms, places)]
+                rows = pa.array(places, pa.int32())
+                out = [*(batch.column(i).take(rows) for i in range(3)), pa.array(prior, pa.float64()), pa.array([e[1] for e in ends], pa.float64()), pa.array(held), contexts]
+                yield pa.RecordBatch.from_arrays(out, ["field", "row_id", "lang", "prior", "extra", "held", "contexts"])
 
     ends = values.mapInArrow(read, "field string, row_id bigint, lang string, prior double, extra double, held boolean, contexts array<struct<context: bigint, own: int>>")
     return ends.withColumn("tail", F.xxhash64("prior", "extra", "contexts"))

@@ -178,6 +178,15 @@ def test_thresholds_are_fitted_for_any_field(spark):
     assert truncation.expected_threshold(m, n) < 11 and 29 < truncation.expected_threshold(m, n, False) < 32
 
 
+def test_every_complete_value_is_cut_once(spark):
+    """Not a sample: also of more values than a few thousand of one field and language."""
+    rows = [("caption", i, "en", f"The {'abcdefg'[i % 7]}{i} kite hangs. It is number {i * 7919 % 10007} of them all.") for i in range(7000)]
+    odd = [("caption", 9000, "en", "Too short."), ("caption", 9001, "en", "This one has no stop and isn't complete"), ("caption", 9002, None, '{"caption": "In JSON, no prose."}')]
+    df = spark.createDataFrame(rows + odd, "field string, row_id bigint, lang string, text string")
+    held = Counter(r["row_id"] for r in truncation._tails(df).where("held").select("row_id").collect())
+    assert held == {i: 1 for _, i, _, t in rows if truncation.cut_of(t, False)} and len(held) > 5500
+
+
 def test_context_lengths():
     assert [v[2] for v in truncation.views("a boat", "caption", True)] == [(3, 5, 8, 12, 20, 32, 48)]
     assert [v[2] for v in truncation.views("no boat", "error_message", False)] == [(3, 5, 8, 12, 20)] * 2
