@@ -37,7 +37,7 @@ SCORES, STEP, NEAR = 14.0, 0.25, 6
 #: their stops left out, lies below. Stops keep most complete values from being taken for cut, so that more may lie below.
 MISSED, FALSE = 0.005, 0.02
 #: A language with fewer held-out cuts or complete values is expected to have the threshold of its whole field.
-LEAST_SAMPLES = 500
+LEAST_VALUES = 500
 #: Shorter ones are not cut.
 LEAST_CUT = 24
 
@@ -340,7 +340,7 @@ def _scored(tails: DataFrame, counts: DataFrame) -> DataFrame:
 
 def expected_threshold(cuts: np.ndarray, ends: np.ndarray, many: bool = True) -> float:
     """The bin, with a fraction, in the middle between the upper quantile of held-out cuts and the lower one of complete values, both
-    by bin; with ``many`` values that of complete ones, if the cuts' is above: what is cut there looks complete. Without
+    by bin and over all values; with ``many`` values that of complete ones, if the cuts' is above: what is cut there looks complete. Without
     cuts or without complete values that quantile is the middle of the scale."""
 
     def quantile(n: np.ndarray, share: float) -> float:
@@ -378,7 +378,7 @@ def _thresholds(scored: DataFrame) -> DataFrame:
         cuts, whole = [r for r in rows if r["field"] == field and r["held"]], [r for r in ends if r["field"] == field]
         for lang in sorted({r["lang"] for r in rows if r["field"] == field and not r["held"]}, key=repr):
             pair = [bins([r for r in side if r["lang"] == lang]) for side in (cuts, whole)]
-            many = min(p.sum() for p in pair) >= LEAST_SAMPLES
+            many = min(p.sum() for p in pair) >= LEAST_VALUES
             at = expected_threshold(*(pair if many else (bins(cuts), bins(whole))), many)
             own = bins([r for r in rows if r["field"] == field and r["lang"] == lang and not r["held"]])
             near = np.convolve(own, [1, 1, 1], "same")

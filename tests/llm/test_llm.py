@@ -187,6 +187,16 @@ def test_every_complete_value_is_cut_once(spark):
     assert held == {i: 1 for _, i, _, t in rows if truncation.cut_of(t, False)} and len(held) > 5500
 
 
+def test_thresholds_see_every_cut_and_every_complete_value(spark, monkeypatch):
+    rows = [("error_message", i, "en", f"Worker {'abcdefg'[i % 7]} lost kite {i * 31} on the long way home, then gave up.") for i in range(6000)]
+    rows += [("caption", i, "xy", "A kite hangs beside the lamp. A boot stands there.") for i in range(700)]
+    seen, fit = [], truncation.expected_threshold
+    monkeypatch.setattr(truncation, "expected_threshold", lambda cuts, ends, *more: seen.append((int(cuts.sum()), int(ends.sum()))) or fit(cuts, ends, *more))
+    truncation.truncation_scores(spark.createDataFrame(rows, "field string, row_id bigint, lang string, text string"))
+    cuts = [sum(truncation.cut_of(t, f == "error_message") is not None for f, _, _, t in rows if f == field) for field in ("caption", "error_message")]
+    assert seen == list(zip(cuts, (700, 6000))) and cuts[1] > 5500
+
+
 def test_context_lengths():
     assert [v[2] for v in truncation.views("a boat", "caption", True)] == [(3, 5, 8, 12, 20, 32, 48)]
     assert [v[2] for v in truncation.views("no boat", "error_message", False)] == [(3, 5, 8, 12, 20)] * 2
