@@ -148,11 +148,15 @@ partial caption;partial output;partial response;partial answer | was discarded;d
 NO_VALUE = {"null", "none", "nil", "nan", "na", "n a", "undefined", "empty", "no caption", "no description", "no value", "no text", "not available", "unavailable", "no answer", "no output", "blank", "missing", "keine", "kein wert", "leer", "keine beschreibung", "aucun", "aucune", "vide", "aucune légende", "ninguno", "ninguna", "vacío", "sin descripción", "なし", "無し", "無", "空", "説明なし"}
 
 _TOKEN = re.compile("[぀-ヿ㐀-鿿々]|[^\\W_぀-ヿ㐀-鿿々]+")
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|[\r\n]+")
+_BREAK = re.compile(r"[.!?。！？\r\n](?:(?<=[.!?])\s+|(?<=[。！？])|(?<=[\r\n])[\r\n]*)")
 _STATEMENT = re.compile(r"(?i);|\b(?:earlier|details follow|context|last server note):|(?<=[.!?])\s+|(?<=[。！？])|[\r\n]+")
 _QUOTED = re.compile(r"\"[^\"\n]{0,200}\"|“[^”\n]{0,300}”|«[^»\n]{0,300}»|„[^“”\n]{0,300}[“”]|「[^」\n]{0,300}」|『[^』\n]{0,300}』")
+_QUOTES = re.compile("[\"“«„「『]")
 _WIDE = re.compile("[぀-ヿ㐀-鿿]")
-_LETTERS = re.compile(r"(?:[^\w\n]|[\d_])+")
+_LETTER = re.compile(r"[^\W\d_]|\n")
+#: Of each character up to U+FFFF whether it is a letter or the end of a line.
+_IS_LETTER = np.zeros(1 << 16, bool)
+_IS_LETTER[[m.start() for m in _LETTER.finditer("".join(map(chr, range(1 << 16))))]] = True
 #: Characters that are worked on at once.
 CHUNK = 300_000
 
@@ -176,6 +180,20 @@ def lcs(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+def _sentences(text: str) -> list[str]:
+    """Up to white space after a stop, to a stop that needs none, and to the end of a line."""
+    out, begin = [], 0
+    for m in _BREAK.finditer(text):
+        out.append(text[begin : m.start() + (m[0][0] not in "\r\n")])
+        begin = m.end()
+    return [*out, text[begin:]]
+
+
+def _unquoted(text: str) -> str:
+    """A text without what stands in quotation marks."""
+    return _QUOTED.sub(" ", text) if _QUOTES.search(text) else text
+
+
 class Templates:
     """Runs of tokens, found by their pairs of neighbours and aligned by longest common subsequence: the lines of a text, and
     what is composed of the parts of another, of which every token must stand there."""
@@ -188,6 +206,7 @@ class Templates:
             made = [tokens(f"{b} {e}") for b in begins for e in ends]
             self.runs += made
             self.need += map(len, made)
+        self.held = [frozenset(run) for run in self.runs]
         self.by = defaultdict(set)
         for k, run in enumerate(self.runs):
             for pair in zip(run, run[1:]):
@@ -199,9 +218,13 @@ class Templates:
         for i, pair in enumerate(zip(words, words[1:])):
             for k in self.by.get(pair, ()):
                 seen[k].append(i)
+        have = set(words)
         for k, at in seen.items():
             run = self.runs[k]
             need = self.need[k]
+            # Of a run whose tokens aren't there, less can align.
+            if len(run) - len(self.held[k] - have) < need:
+                continue
             reach = int(len(run) * SPREAD)
             for i in at:
                 begin = max(0, i - reach + 2)
@@ -250,11 +273,11 @@ def declines(text: str, words: list[str] | None = None) -> bool:
     # Without two neighbours of a template no sentence aligns with one.
     if _REFUSALS.by.keys().isdisjoint(zip(words, words[1:])):
         return False
-    plain = _QUOTED.sub(" ", caption_text(text))
+    plain = _unquoted(caption_text(text))
     refused = total = 0
     first = None
-    for s in _SENTENCE.split(plain):
-        words = tokens(s or "")
+    for s in _sentences(plain):
+        words = tokens(s)
         if not words:
             continue
         size = sum(map(len, words))
@@ -297,7 +320,15 @@ def message_says(message: str | None) -> str | None:
 
 def _trigrams(sentences: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """A bucket of each three letters of each sentence, words apart, and how many each sentence has: one at least."""
-    joined = _LETTERS.sub(" ", "\n".join(sentences).lower()).replace("\n", " \n  ")
+    codes = np.frombuffer("\n".join(sentences).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _IS_LETTER[np.minimum(codes, 0xFFFF)]
+    for code in np.unique(codes[codes > 0xFFFF]):
+        letter[codes == code] = bool(_LETTER.match(chr(code)))
+    # What lies between words is one space.
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]
+    kept[:1] = True
+    joined = np.where(letter, codes, np.uint32(32))[kept].tobytes().decode("utf-32-le", "surrogatepass").replace("\n", " \n  ")
     codes = np.frombuffer(f"  {joined} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     apart = codes == 10
     inside = ~(apart[:-2] | apart[1:-1] | apart[2:])
@@ -308,7 +339,7 @@ def _trigrams(sentences: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _prose(text: str) -> list[str]:
     """The sentences of a response outside of quotation marks."""
-    return [s for s in _SENTENCE.split(_QUOTED.sub(" ", caption_text(text))) if s and s.strip()]
+    return [s for s in _sentences(_unquoted(caption_text(text))) if s.strip()]
 
 
 def language_models(pairs: DataFrame) -> tuple[list[str], np.ndarray]:

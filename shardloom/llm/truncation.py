@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,8 @@ _DOTS = re.compile(r"(?:\.{2,}|…)$")
 _FINAL = re.compile(r"[.!?。！？]+[\"'”’»)\]]*$|[.!?。！？]?[\"'”’»」』)\]]*[.!?。！？]$")
 _PATH = re.compile(r"(?<!\S)\S*/[^\s.]*")
 _DIGITS = re.compile(r"\d+")
-_SPACE = re.compile(r"\s+")
+#: The end of a longer text is read alone, from a space on.
+REACH = 160
 
 
 def normalised(text: str, paths: bool) -> str:
@@ -58,16 +59,15 @@ def normalised(text: str, paths: bool) -> str:
     text = text.lower()
     if paths and "/" in text:
         text = _PATH.sub("/", text)
-    return _SPACE.sub(" ", _DIGITS.sub("0", text)).rstrip()
+    return " " * text[:1].isspace() * (not text.isspace()) + " ".join(_DIGITS.sub("0", text).split())
 
 
 def form_of(text: str) -> str:
     """json (also fenced), list (of short parts between commas) or prose."""
     if text.lstrip().startswith(("{", "[", "```")):
         return "json"
-    parts = re.split(r"[,、]", text)
-    if len(parts) >= 4 and not re.search(r"[.!?。！？](?:\s|$)", text):
-        sizes = [len(p.split()) for p in parts]
+    if text.count(",") + text.count("、") >= 3 and not re.search(r"[.!?。！？](?:\s|$)", text):
+        sizes = [len(p.split()) for p in re.split(r"[,、]", text)]
         if max(sizes) <= 6 and sum(sizes) <= 3.5 * len(sizes):
             return "list"
     return "prose"
@@ -115,6 +115,9 @@ def views(text: str, field: str, final: bool) -> list[tuple[str, bool, tuple[int
     """The forms in which a text is modelled, each normalised, whether as it is (raw), and its context lengths.
     Messages are counted with and without their paths; the end of one is read without if it lies in a path."""
     if field != "error_message":
+        # The longest context of a long text lies in its end.
+        if final and len(text) > REACH and (space := text.find(" ", len(text) - REACH)) >= 0 and len(end := normalised(text[space:], False)) >= ORDERS[-1]:
+            return [(end, False, ORDERS)]
         return [(_START + normalised(text, False), False, ORDERS)]
     both = [(_START + normalised(text, False), True, MESSAGE_ORDERS), (_START + normalised(text, True), False, MESSAGE_ORDERS)]
     return [both["/" in text.split(" ")[-1]]] if final else both
@@ -130,7 +133,8 @@ class _Chunk:
 
     def __init__(self, texts: list[str], seeds: list[int]):
         self.joined = "".join(texts)
-        codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        self.codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = self.codes.astype(np.uint64)
         self.lengths = np.array([len(t) for t in texts], np.int64)
         self.starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.lengths)[:-1]])
         self.seeds = np.array(seeds, np.int64)
@@ -183,43 +187,65 @@ def final_contexts(chunk: _Chunk, orders: tuple[int, ...]) -> tuple[np.ndarray,
 _STOPS = re.compile("[\"'”’»」』)\\]]*[.!?。！？…](?=[ .\"'”’»」』)\\]…\x02⺀-\U0010ffff]|$)|[\"'”’»」』)\\]]*[。！？]")
 
 
-def all_contexts(chunk: _Chunk, orders: tuple[int, ...], forms: list[str], fields: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all contexts of all texts, and whether the text may be complete after each: before a final stop that
-    a space, a quote or the end follows; in lists before a comma; in JSON and messages, and where a context is the
-    whole text, also at the end."""
+#: Of each character, as bits: a quote or bracket (1), a stop (2), one that ends a sentence whatever follows (4), what may follow a stop (8), a
+#: comma (16). The last is that of all characters beyond.
+_KINDS = np.zeros(1 << 16, np.uint8)
+for _bit, _chars in ((1, "\"'”’»」』)]"), (2, ".!?。！？…"), (4, "。！？"), (8, " .\"'”’»」』)]…" + _START), (16, ",、")):
+    _KINDS[[ord(c) for c in _chars]] |= _bit
+_KINDS[0x2E80:] |= 8
+
+
+def _stop_places(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each character belongs to what _STOPS finds, and whether it is a comma; with one place more, the end."""
+    kind = np.append(_KINDS[np.minimum(codes, 0xFFFF)], np.uint8(8))
+    at = np.flatnonzero(kind & 2)
+    at = at[(kind[at + 1] & 8 | kind[at] & 4) != 0]
+    stop = np.zeros(len(kind), bool)
+    while len(at):
+        stop[at] = True
+        at = at[at > 0] - 1
+        at = at[kind[at] & 1 != 0]
+    return stop, kind & 16 != 0
+
+
+def all_contexts(chunk: _Chunk, orders: tuple[int, ...], forms: list[str], fields: list[str], passes: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the contexts of all texts that ``passes`` lets pass, and whether the text may be complete after each: before a
+    final stop that a space, a quote or the end follows; in lists before a comma; in JSON and messages, and where a context
+    is the whole text, also at the end. A value that ends with a context ends with the shorter ones, so that where one
+    doesn't pass, no longer one is looked up."""
     size = len(chunk.joined)
-    stop = np.zeros(size + 1, bool)
-    for m in _STOPS.finditer(chunk.joined):
-        stop[m.start() : m.end()] = True
+    stop, commas = _stop_places(chunk.codes)
     owner = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
     listed = np.array([f == "list" for f in forms])
     if listed.any():
-        commas = np.zeros(size + 1, bool)
-        commas[[m.start() for m in re.finditer("[,、]", chunk.joined)]] = True
         stop[:size] = np.where(listed[owner], commas[:size], stop[:size])
     # The place after a text's last character, which is also where the next text starts, comes apart.
     inside = np.arange(size) - chunk.starts[owner]
     salt, ends = chunk.seeds[owner], chunk.starts + chunk.lengths
     ended = np.array([form == "json" or field == "error_message" for form, field in zip(forms, fields)])
     hashes, stops = [], []
+
+    def look(begin: np.ndarray, end: np.ndarray, salt: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        h = chunk.hashes(begin, end, salt)
+        kept = passes(h)
+        hashes.append(h[kept])
+        stops.append(stop[kept])
+        return kept
+
+    at, last = np.flatnonzero(inside >= orders[0]), np.flatnonzero(ended)
     for order in orders:
-        at = np.flatnonzero(inside >= order)
-        hashes.append(chunk.hashes(at - order, at, salt[at]))
-        stops.append(stop[at])
-        last = np.flatnonzero(ended & (chunk.lengths >= order))
-        hashes.append(chunk.hashes(ends[last] - order, ends[last], chunk.seeds[last]))
-        stops.append(np.ones(len(last), bool))
+        at, last = at[inside[at] >= order], last[chunk.lengths[last] >= order]
+        at = at[look(at - order, at, salt[at], stop[at])]
+        last = last[look(ends[last] - order, ends[last], chunk.seeds[last], np.ones(len(last), bool))]
     at = np.flatnonzero((inside > 0) & (inside < orders[-1]))
-    hashes.append(chunk.hashes(at - inside[at], at, salt[at] ^ 64))
-    stops.append(stop[at])
+    look(at - inside[at], at, salt[at] ^ 64, stop[at])
     last = np.flatnonzero(chunk.lengths < orders[-1])
-    hashes.append(chunk.hashes(chunk.starts[last], ends[last], chunk.seeds[last] ^ 64))
-    stops.append(np.ones(len(last), bool))
+    look(chunk.starts[last], ends[last], chunk.seeds[last] ^ 64, np.ones(len(last), bool))
     return np.concatenate(hashes), np.concatenate(stops)
 
 
-#: Characters that are worked on at once.
-CHUNK = 400_000
+#: Characters that are worked on at once, and where all contexts are looked up, so that their numbers stay in the cache.
+CHUNK, CACHED = 400_000, 40_000
 
 
 def chunks(texts: list[str], most: int = CHUNK) -> Iterator[slice]:
@@ -301,19 +327,22 @@ def context_counts(values: DataFrame, tails: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = known.value
+
+        def passes(h: np.ndarray) -> np.ndarray:
+            low = (h >> 1) & (FILTER_BITS - 1)
+            return (flags[low >> 6] >> (low & 63)) & 1 == 1
+
         for batch in batches:
             fields, texts = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            for part in chunks(texts):
-                forms = [form_of(t) for t in texts[part]]
-                hashes, stops = [], []
-                for orders, at, chunk in _grouped(fields[part], forms, [t.rstrip() for t in texts[part]], False):
-                    h, s = all_contexts(chunk, orders, [forms[i] for i in at], [fields[part][i] for i in at])
-                    hashes.append(h)
-                    stops.append(s)
-                h, s = np.concatenate(hashes), np.concatenate(stops)
-                low = (h >> 1) & (FILTER_BITS - 1)
-                keep = (flags[low >> 6] >> (low & 63)) & 1 == 1
-                seen = pc.value_counts(pa.array(h[keep] | s[keep]))
+            for most in chunks(texts, 10 * CHUNK):
+                met = []
+                for small in chunks(texts[most], CACHED):
+                    part = slice(most.start + small.start, most.start + small.stop)
+                    forms = [form_of(t) for t in texts[part]]
+                    for orders, at, chunk in _grouped(fields[part], forms, [t.rstrip() for t in texts[part]], False):
+                        h, s = all_contexts(chunk, orders, [forms[i] for i in at], [fields[part][i] for i in at], passes)
+                        met.append(h | s)
+                seen = pc.value_counts(pa.array(np.concatenate(met)))
                 keys, n = seen.field("values").to_numpy(), seen.field("counts").to_numpy()
                 ends = keys & 1
                 keys, stop, cont = keys & ~1, n * ends, n * (1 - ends)

@@ -197,6 +197,39 @@ def test_thresholds_see_every_cut_and_every_complete_value(spark, monkeypatch):
     assert seen == list(zip(cuts, (700, 6000))) and cuts[1] > 5500
 
 
+def test_contexts_are_looked_up_from_the_shortest():
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choices("abc .!?…。\"')」,、x", k=rnd.randrange(1, 90))).rstrip() or "a" for _ in range(200)]
+    forms, fields = [truncation.form_of(t) for t in texts], ["caption"] * len(texts)
+    for orders, _, chunk in truncation._grouped(fields, forms, texts, False):
+        stop = np.zeros(len(chunk.codes) + 1, bool)
+        for m in truncation._STOPS.finditer(chunk.joined):
+            stop[m.start() : m.end()] = True
+        assert truncation._stop_places(chunk.codes)[0].tolist() == stop.tolist()
+        asked = Counter()
+        for known in (set(), None):
+            looked = []
+            passes = lambda h: looked.append(len(h)) or np.full(len(h), known is None)  # noqa: B023, E731
+            asked[known is None] = len(truncation.all_contexts(chunk, orders, forms, fields, passes)[0]), sum(looked[: 2 * len(orders)])
+        # What no value ends with isn't looked up in its longer contexts; with all let pass nothing is left out.
+        places = [int(n) for n in chunk.lengths]
+        assert asked[False] == (0, sum(max(0, n - orders[0]) for n in places) + sum(f == "json" and n >= orders[0] for f, n in zip(forms, places)))
+        assert asked[True][1] == sum(max(0, n - k) + (f == "json" and n >= k) for f, n in zip(forms, places) for k in orders)
+
+
+def test_parts_of_responses():
+    rnd = random.Random(13)
+    for _ in range(300):
+        text = "".join(rnd.choices("ab1_ .!?。！\n\r é漢\"“”", k=60))
+        apart = pairs.re.split(r"(?<=[.!?])\s+|(?<=[。！？])|[\r\n]+", pairs._QUOTED.sub(" ", text))
+        assert [t for t in pairs._sentences(pairs._unquoted(text)) if t.strip()] == [t for t in apart if t and t.strip()]
+    assert pairs._trigrams(["a--1b c", "é"])[1].tolist() == [6, 2] and pairs._trigrams(["a--1b c"])[0].tolist() == pairs._trigrams(["A b_c"])[0].tolist()
+    assert truncation.normalised(" 12\t a/b \n c ", True) == " 0 / c" and truncation.normalised(" \n ", False) == ""
+    long = "Zwölf Boote liegen am Kai. " * 20 + "Ein Kran dreht sich"
+    (end, _, orders), (whole, _, _) = truncation.views(long, "caption", True)[0], truncation.views(long, "caption", False)[0]
+    assert whole.endswith(end) and orders[-1] <= len(end) < len(whole) / 2
+
+
 def test_context_lengths():
     assert [v[2] for v in truncation.views("a boat", "caption", True)] == [(3, 5, 8, 12, 20, 32, 48)]
     assert [v[2] for v in truncation.views("no boat", "error_message", False)] == [(3, 5, 8, 12, 20)] * 2
